@@ -63,23 +63,24 @@ def cut_labels(edges: Sequence[float], dig_lab: int = 3) -> list[str]:
     return labels
 
 
+def _right_closed_case(col: Column, edges: Sequence[float], values: Sequence) -> Column:
+    expr = F.when((col >= edges[0]) & (col <= edges[1]), F.lit(values[0]))
+    for i in range(2, len(edges)):
+        expr = expr.when((col > edges[i - 1]) & (col <= edges[i]), F.lit(values[i - 1]))
+    return expr
+
+
 def right_closed_bin_index(c, edges: Sequence[float]) -> Column:
     """1-based bin of ``cut(..., include.lowest=TRUE)``; NULL outside the edges.
 
     Not ``Bucketizer``: that one is left-closed.
     """
-    col = _c(c)
-    expr = F.when(col.isNull(), F.lit(None).cast("int"))
-    expr = expr.when((col >= edges[0]) & (col <= edges[1]), F.lit(1))
-    for i in range(2, len(edges)):
-        expr = expr.when((col > edges[i - 1]) & (col <= edges[i]), F.lit(i))
-    return expr
+    return _right_closed_case(_c(c), edges, list(range(1, len(edges))))
 
 
 def right_closed_bin_label(c, edges: Sequence[float], labels: Sequence[str] | None = None) -> Column:
-    labels = list(labels or cut_labels(edges))
-    arr = F.array(*[F.lit(s) for s in labels])
-    return F.element_at(arr, right_closed_bin_index(c, edges))
+    """X10 with R's interval labels, e.g. ``[20.5,34]`` and ``(34,45.2]``."""
+    return _right_closed_case(_c(c), edges, list(labels or cut_labels(edges)))
 
 
 def md5_uniform(id_col, seed: int | str) -> Column:

@@ -84,6 +84,13 @@ APP = f"""app AS (
     {_pick("ORGANIZATION_TYPE", "c_custkey * 19 + c_nationkey")} AS ORGANIZATION_TYPE
   FROM customer)"""
 
+APP_DOUBLES = ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", "CNT_FAM_MEMBERS", "AMT_ANNUITY",
+               "AMT_GOODS_PRICE", "AMT_CREDIT", "AMT_INCOME_TOTAL", "OWN_CAR_AGE",
+               "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE",
+               "DEF_60_CNT_SOCIAL_CIRCLE", "DAYS_LAST_PHONE_CHANGE", "DAYS_EMPLOYED", "DAYS_BIRTH",
+               "AMT_REQ_CREDIT_BUREAU_MON", "AMT_REQ_CREDIT_BUREAU_YEAR", "APARTMENTS_AVG",
+               "BASEMENTAREA_AVG", "LIVINGAREA_MEDI"]
+
 TRAIN = "train AS (SELECT * FROM app WHERE SK_ID_CURR % 5 <> 0)"
 TEST = "test AS (SELECT * EXCLUDE (TARGET) FROM app WHERE SK_ID_CURR % 5 = 0)"
 
