@@ -1,22 +1,24 @@
 """Exact quantiles and modes without gathering a column into one task.
 
-Spark's exact ``percentile`` keeps a value -> count map of the whole column
-in a single final task, and ``percentile_approx`` is not exact.  The
-reference needs R's type-7 quantiles and medians exactly, so this module
-selects order statistics by distributed counting:
-
-1. one aggregate gives count / min / max / approximate distinct count;
-2. a column with few distinct values is reduced by ``groupBy(value).count``
-   (distributed, map-side combined) and the bounded result is ranked on the
-   driver;
-3. otherwise the value range is cut into ``buckets`` equal-width buckets,
-   per-bucket counts are aggregated on the cluster, the bucket holding the
-   wanted rank is kept, and the step repeats inside it until the remaining
-   rows fit under ``local_limit``.  Every driver-side collect is bounded by
-   ``buckets`` or ``local_limit`` rows.
-
-Modes use ``unpivot`` + ``groupBy(variable, level).count`` + ``min_by`` so
-the counting is spread over the cluster; ties go to the smallest level.
+Spark's exact ``percentile`` keeps a value -> count map of a whole group in
+a single final task, and ``percentile_approx`` is not exact.  The reference
+needs R's type-7 quantiles exactly, so order statistics are selected by
+distributed counting on a long frame ``(key, value)``:
+
+1. one aggregate per key gives count / min / max / approximate distinct;
+2. keys whose distinct values fit a fixed budget are reduced by
+   ``groupBy(key, value).count`` (distributed, map-side combined) and the
+   bounded result is ranked on the driver;
+3. for any other key the value range is cut into ``buckets`` equal-width
+   buckets, per-bucket counts are aggregated on the cluster, the bucket
+   holding the wanted rank is kept and the step repeats inside it until the
+   remaining rows fit the budget.
+
+Every driver-side collect is bounded by ``buckets`` rows, the number of
+keys, or ``local_limit`` rows -- never by the data size.
+
+Modes use ``unpivot`` + ``groupBy(variable, level).count`` + ``min_by``;
+ties go to the smallest level.
 """
 
 from __future__ import annotations
@@ -54,72 +56,100 @@ def _rank_in_counts(pairs: list[tuple[float, int]], rank: int) -> float:
     raise IndexError(rank)
 
 
-def _select_rank(df: DataFrame, col: str, rank: int, lo: float, hi: float, n_in_range: int,
+def _select_rank(rows: DataFrame, rank: int, lo: float, hi: float, n_in_range: int,
                  local_limit: int, buckets: int) -> float:
-    """Exact value at 0-based ``rank`` among the non-null values within [lo, hi]."""
-    c = F.col(col).cast("double")
+    """Exact value at 0-based ``rank`` among ``rows.value`` (non-null) within [lo, hi]."""
+    v = F.col("value")
     below = 0
     while True:
         if lo == hi:
             return lo
-        in_range = df.where(c.isNotNull() & (c >= lo) & (c <= hi))
+        in_range = rows.where((v >= lo) & (v <= hi))
         if n_in_range <= local_limit:
-            pairs = sorted((r[0], r[1]) for r in
-                           in_range.groupBy(c.alias("v")).count().collect())
+            pairs = sorted((r[0], r[1]) for r in in_range.groupBy("value").count().collect())
             return _rank_in_counts(pairs, rank - below)
         width = (hi - lo) / buckets
-        b = F.least(F.floor((c - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        rows = sorted(in_range.groupBy(b.alias("b"))
-                      .agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"))
-                      .collect())
-        for r in rows:
+        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
+        got = sorted(in_range.groupBy(b.alias("b"))
+                     .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+                     .collect())
+        for r in got:
             if rank - below < r["n"]:
                 lo, hi, n_in_range = r["lo"], r["hi"], r["n"]
                 break
             below += r["n"]
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    local_limit: int = LOCAL_LIMIT, buckets: int = BUCKETS) -> dict[str, list]:
-    """R ``quantile(x, probs, type=7, na.rm=TRUE)`` for each column, exactly.
+def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                   local_limit: int = LOCAL_LIMIT, buckets: int = BUCKETS) -> dict[tuple, list]:
+    """Type-7 quantiles of ``value`` per key tuple of a long frame.
 
-    Returns ``{col: [q(p) for p in probs]}``; an all-NULL column gives NULLs.
+    ``long`` has the ``keys`` columns and a double ``value`` column; NULL
+    values are ignored.  Returns ``{key_tuple: [q(p) ...]}`` for every key
+    with at least one non-NULL value.
     """
-    cols = list(cols)
-    if not cols:
-        return {}
-    stats_row = df.agg(*[e for c in cols for e in (
-        F.count(F.col(c)).alias(f"n_{c}"), F.min(F.col(c).cast("double")).alias(f"lo_{c}"),
-        F.max(F.col(c).cast("double")).alias(f"hi_{c}"),
-        F.approx_count_distinct(F.col(c), 0.02).alias(f"d_{c}"))]).first()
-    out: dict[str, list] = {}
-    small = [c for c in cols if stats_row[f"n_{c}"] > 0 and stats_row[f"d_{c}"] * 1.1 <= local_limit]
-    local_pairs: dict[str, list[tuple[float, int]]] = {c: [] for c in small}
+    keys = list(keys)
+    rows = long.select(*keys, F.col("value").cast("double").alias("value")).where(
+        F.col("value").isNotNull())
+    stats = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.approx_count_distinct("value", 0.02).alias("d")).collect()
+    budget, small, big = local_limit, [], []
+    for r in sorted(stats, key=lambda r: r["d"]):
+        if r["d"] * 1.1 <= budget:
+            small.append(r)
+            budget -= int(r["d"] * 1.1) + 1
+        else:
+            big.append(r)
+    pairs: dict[tuple, list] = {}
     if small:
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in small]).unpivot(
-            [], small, "variable", "value").where(F.col("value").isNotNull())
-        for r in long.groupBy("variable", "value").count().collect():
-            local_pairs[r["variable"]].append((r["value"], r["count"]))
-    for c in cols:
-        n = stats_row[f"n_{c}"]
-        if n == 0:
-            out[c] = [None] * len(probs)
-            continue
-        values = []
-        pairs = sorted(local_pairs[c]) if c in local_pairs else None
+        small_keys = [tuple(r[k] for k in keys) for r in small]
+        cond = None
+        for kt in small_keys:
+            c = None
+            for k, val in zip(keys, kt):
+                term = F.col(k).isNull() if val is None else (F.col(k) == F.lit(val))
+                c = term if c is None else (c & term)
+            cond = c if cond is None else (cond | c)
+        sel = rows.where(cond) if len(small) < len(stats) else rows
+        for r in sel.groupBy(*keys, "value").count().collect():
+            pairs.setdefault(tuple(r[k] for k in keys), []).append((r["value"], r["count"]))
+    out: dict[tuple, list] = {}
+    for r in small:
+        kt = tuple(r[k] for k in keys)
+        srt = sorted(pairs.get(kt, []))
+        vals = []
         for p in probs:
-            lo_i, hi_i, frac = type7_positions(n, p)
-            if pairs is not None:
-                x_lo, x_hi = _rank_in_counts(pairs, lo_i), _rank_in_counts(pairs, hi_i)
-            else:
-                args = (stats_row[f"lo_{c}"], stats_row[f"hi_{c}"], n, local_limit, buckets)
-                x_lo = _select_rank(df, c, lo_i, *args)
-                x_hi = x_lo if hi_i == lo_i else _select_rank(df, c, hi_i, *args)
-            values.append(_interp(x_lo, x_hi, frac))
-        out[c] = values
+            lo_i, hi_i, frac = type7_positions(r["n"], p)
+            vals.append(_interp(_rank_in_counts(srt, lo_i), _rank_in_counts(srt, hi_i), frac))
+        out[kt] = vals
+    for r in big:
+        kt = tuple(r[k] for k in keys)
+        key_rows = rows
+        for k, val in zip(keys, kt):
+            key_rows = key_rows.where(F.col(k).isNull() if val is None else (F.col(k) == F.lit(val)))
+        vals = []
+        for p in probs:
+            lo_i, hi_i, frac = type7_positions(r["n"], p)
+            args = (r["lo"], r["hi"], r["n"], local_limit, buckets)
+            x_lo = _select_rank(key_rows, lo_i, *args)
+            x_hi = x_lo if hi_i == lo_i else _select_rank(key_rows, hi_i, *args)
+            vals.append(_interp(x_lo, x_hi, frac))
+        out[kt] = vals
     return out
 
 
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **kw) -> dict[str, list]:
+    """R ``quantile(x, probs, type=7, na.rm=TRUE)`` per column; all-NULL gives NULLs."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "variable", "value")
+    got = long_quantiles(long, ["variable"], probs, **kw)
+    return {c: got.get((c,), [None] * len(probs)) for c in cols}
+
+
 def exact_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float]:
     return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **kw).items()}
 
@@ -140,3 +170,12 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
     got = {r["variable"]: r["mode"] for r in mode_frame(df, cols).collect()}
     return {c: got.get(c) for c in cols}
 
+
+def group_mode(df: DataFrame, keys: Sequence[str], col: str, name: str = "mode") -> DataFrame:
+    """Most frequent non-NULL value of ``col`` per group; alphabetical tie rule.
+
+    Two aggregations (per (key, level) count, then ``min_by`` per key), so a
+    hot key is pre-aggregated on every map task.
+    """
+    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.groupBy(*keys).agg(F.min_by(F.col(col), F.struct(-F.col("_n"), F.col(col))).alias(name))
