@@ -1 +1,200 @@
-"""Queries (to be filled)."""
+"""Queries M2-M12, M16, R4, S1, S3-S5: learned or file-system operators.
+
+Model outputs are learned, so they get the driver's rows-only check; the
+two sink/source round trips are deterministic and have oracles.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from creditlens.operators import modeling, sampling
+from creditlens.operators.fairness import adverse_action_map
+from creditlens.operators.modeling import ID, LABEL
+from creditlens.operators.smote import smote
+from creditlens.plans import training
+from creditlens.plans.oracle_sql import APP_DOUBLES, rounded, with_fixtures
+from creditlens.plans.q_features import _feature_matrix_sql
+from creditlens.plans.registry import query
+from creditlens.session import checkpoint_dir
+from creditlens.sources import fixtures, read_csv_na, write_csv_na
+from creditlens.sources.tables import Tables
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint root named by the session."""
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _build(spark, sf):
+    return training.feature_build(spark, sf)
+
+
+@query("scan_csv_na", with_fixtures(["app"], rounded("SELECT * FROM app", APP_DOUBLES)))
+def q_scan_csv_na(spark, sf):
+    """CSV with NA tokens read back with a declared schema (no inference pass)."""
+    app = fixtures.application(Tables(spark, sf))
+    path = _scratch(spark, "application-csv")
+    write_csv_na(app, path)
+    return read_csv_na(spark, path, app.schema)
+
+
+@query("sink_roundtrip", _feature_matrix_sql("train"))
+def q_sink_roundtrip(spark, sf):
+    """S3: the training feature matrix written as CSV (NA for NULL) and read back."""
+    train = _build(spark, sf).train
+    path = _scratch(spark, "train-final-csv")
+    write_csv_na(train, path)
+    return read_csv_na(spark, path, train.schema)
+
+
+@query("design_matrix")
+def q_design_matrix(spark, sf):
+    """M2: dummy-coded design matrix (first level dropped) as id + feature array."""
+    train = _build(spark, sf).train
+    num, cat = modeling.feature_columns(train)
+    from pyspark.ml import Pipeline
+    design = Pipeline(stages=modeling.design_pipeline(num, cat)).fit(train)
+    return design.transform(train).select(ID, LABEL, vector_to_array("features").alias("x"))
+
+
+def _folds(spark, sf):
+    train = _build(spark, sf).train
+    return train, *modeling.feature_columns(train)
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, sf):
+    """M3: unpenalised logistic regression; coefficient table."""
+    train, num, cat = _folds(spark, sf)
+    return modeling.fit(train, modeling.logistic(), num, cat).coefficients(spark)
+
+
+@query("fit_lasso_cv")
+def q_fit_lasso_cv(spark, sf):
+    """M4: L1 logistic regression, penalty chosen by inner 3-fold CV on ROC AUC."""
+    train, num, cat = _folds(spark, sf)
+    return modeling.cv_lasso(train, num, cat).coefficients(spark)
+
+
+@query("fit_forest")
+def q_fit_forest(spark, sf):
+    """M5: random forest with 200 trees; feature importances."""
+    train, num, cat = _folds(spark, sf)
+    m = modeling.fit(train, modeling.forest(200, 42), num, cat)
+    imp = m.model.stages[-1].featureImportances.toArray().tolist()
+    names = m.attribute_names()
+    return spark.createDataFrame(list(zip(names, [float(v) for v in imp])), "Feature string, Importance double")
+
+
+def _oof(spark, sf):
+    key = ("oof", sf, spark.sparkContext.applicationId)
+    if key not in training._CACHE:
+        train, num, cat = _folds(spark, sf)
+        training._CACHE[key] = training.oof_predictions(train, num, cat)
+    return training._CACHE[key]
+
+
+@query("oof_predictions")
+def q_oof_predictions(spark, sf):
+    """M6: out-of-fold scores of the three candidate models (3 seeded folds)."""
+    return _oof(spark, sf)[0]
+
+
+@query("model_comparison")
+def q_model_comparison(spark, sf):
+    """M7: CV AUC and predictor count per candidate model."""
+    oof, n_pred = _oof(spark, sf)
+    return training.model_comparison(spark, oof, n_pred)
+
+
+@query("feature_set_comparison")
+def q_feature_set_comparison(spark, sf):
+    """M8: LASSO CV AUC on application-only columns vs all columns."""
+    train, num, cat = _folds(spark, sf)
+    anum, acat = training.application_only_columns(spark, sf, train)
+    rows = []
+    for name, (n, c) in (("Application Only", (anum, acat)), ("Application + Supplementary", (num, cat))):
+        oof, _ = training.oof_predictions(train, n, c, models=("LASSO",))
+        rows.append((name, training.auc_of(oof)))
+    return spark.createDataFrame(rows, "Feature_Set string, CV_AUC double")
+
+
+@query("tune_grid")
+def q_tune_grid(spark, sf):
+    """M9: glmnet-style grid (alpha x penalty) on a 5,000-row sample, with and without SMOTE."""
+    train, num, cat = _folds(spark, sf)
+    sample = sampling.sample_n(train, ID, 5000, 42)
+    return training.tune_grid(spark, sample, num, cat, tune_length=3)
+
+
+@query("final_fit")
+def q_final_fit(spark, sf):
+    """Chosen grid point and its 5-fold SMOTE CV AUC."""
+    ff = training.final_fit(spark, sf)
+    return spark.createDataFrame([(ff.reg, ff.alpha, ff.cv_auc)],
+                                 "regParam double, elasticNetParam double, cv_auc double")
+
+
+@query("top_features")
+def q_top_features(spark, sf):
+    """M11 + L1 + L3: the 20 largest coefficients by absolute value, with reasons."""
+    ff = training.final_fit(spark, sf)
+    coef = ff.model.coefficients(spark)
+    top = coef.orderBy(F.abs("Coefficient").desc(), "Feature").limit(20)
+    return adverse_action_map(top, spark, feature="Feature")
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    """Test rows scored with the final pipeline (unseen levels mapped first)."""
+    ff = training.final_fit(spark, sf)
+    return ff.model.score(_build(spark, sf).test).select(ID, "p_default")
+
+
+@query("submission")
+def q_submission(spark, sf):
+    """Submission file (SK_ID_CURR, TARGET = probability) written and read back."""
+    ff = training.final_fit(spark, sf)
+    sub = ff.model.score(_build(spark, sf).test).select(ID, F.col("p_default").alias(LABEL))
+    path = _scratch(spark, "submission")
+    write_csv_na(sub, path)
+    return read_csv_na(spark, path, sub.schema)
+
+
+@query("artifact_roundtrip")
+def q_artifact_roundtrip(spark, sf):
+    """Model and validation scores persisted, reloaded, and the reload re-scores equally."""
+    ff = training.final_fit(spark, sf)
+    root = _scratch(spark, "artifacts")
+    modeling.save(ff.model, f"{root}/model")
+    ff.validation.write.mode("overwrite").parquet(f"{root}/validation")
+    reloaded = PipelineModel.load(f"{root}/model")
+    val = spark.read.parquet(f"{root}/validation")
+    again = modeling.FittedModel(reloaded, ff.model.numeric, ff.model.categorical, ff.model.levels,
+                                 ff.model.modes)
+    va = _build(spark, sf).train.join(val.select(ID, F.col("p_default").alias("p_saved")), ID)
+    return again.score(va).select(ID, "p_saved", "p_default")
+
+
+@query("performance_table")
+def q_performance_table(spark, sf):
+    """Cross-validated vs validation AUC."""
+    return training.performance_table(spark, training.final_fit(spark, sf))
+
+
+@query("smote")
+def q_smote(spark, sf):
+    """SMOTE on the design matrix of the 80 % training part."""
+    train, num, cat = _folds(spark, sf)
+    split = sampling.stratified_split(train, ID, LABEL, 0.8, 42).where(F.col("split") == "train")
+    from pyspark.ml import Pipeline
+    design = Pipeline(stages=modeling.design_pipeline(num, cat)).fit(split)
+    x = design.transform(split).select(ID, "features", LABEL)
+    return smote(x, ID, "features", LABEL).select(ID, LABEL, "synthetic",
+                                                   vector_to_array("features").alias("x"))

@@ -1,0 +1,5 @@
+"""Structured Streaming operators.
+
+The reference has no streams, windows over event time, watermarks or
+stateful operators, so nothing is built here (see README).
+"""
