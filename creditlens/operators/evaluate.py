@@ -30,7 +30,7 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     y = F.col(label).cast("long")
     g = df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(score).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    g = quantile_buckets(g, score, "_bkt", buckets=256)
+    g = quantile_buckets(g, score, "_bkt", buckets=1024)
     c = prefix_sums(g, "_bkt", [score], ["neg"])
     return c.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)),
                               F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))

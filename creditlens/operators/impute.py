@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditlens.functions import scalar
-from creditlens.operators.quantiles import column_modes, exact_quantiles
+from creditlens.operators.quantiles import column_modes, exact_quantiles, long_quantiles  # noqa: F401
 
 COUNT_VARS = ["COUNT_POS_LOANS", "COUNT_BUREAU_RECORDS", "COUNT_CREDIT_CARDS",
               "COUNT_PREV_APPLICATIONS", "COUNT_INSTALLMENT_LOANS"]
@@ -88,11 +88,15 @@ def _age_years(df: DataFrame) -> DataFrame:
 def fit_train_stats(train: DataFrame) -> TrainStats:
     """Medians, modes and age-bin edges from the training rows only."""
     med_cols = [c for c in MEDIAN_VARS + EXTRA_MEDIAN_VARS if c in train.columns]
-    q = exact_quantiles(train, med_cols, [0.5])
-    medians = {c: q[c][0] for c in med_cols}
+    # medians and age quartiles share one long frame: two small jobs in total
+    num = train.select(*[F.col(c).cast("double").alias(c) for c in med_cols],
+                       scalar.days_to_years("DAYS_BIRTH").alias("AGE_YEARS"))
+    long = num.unpivot([], med_cols + ["AGE_YEARS"], "variable", "value")
+    q = long_quantiles(long, ["variable"], [0.5] + AGE_PROBS)
+    medians = {c: q.get((c,), [None])[0] for c in med_cols}
     modes = column_modes(train, [c for c in MODE_VARS if c in train.columns])
     ages = _age_years(train)
-    edges = exact_quantiles(ages, ["AGE_YEARS"], AGE_PROBS)["AGE_YEARS"]
+    edges = q[("AGE_YEARS",)][1:]
     labels = scalar.cut_labels(edges)
     # Modal age bin of the training rows; lowest bin wins a tie.
     bins = (ages.select(scalar.right_closed_bin_index("AGE_YEARS", edges).alias("b"))

@@ -26,7 +26,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+# 16k buckets: at 10^10 rows a bucket holds ~600k rows (one task's sort),
+# and the offsets table (one row per bucket) is still small to broadcast.
+BUCKETS = 16384
 
 
 def uniform_bucket(u: Column, buckets: int = BUCKETS) -> Column:
