@@ -91,6 +91,22 @@ def training_levels(df: DataFrame, categorical: Sequence[str]) -> tuple[dict, di
     return levels, {c: best[c][1] if c in best else None for c in cats}
 
 
+ROWS_PER_PARTITION = 100_000
+
+
+def right_size(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Coalesce a small training frame to ~``ROWS_PER_PARTITION`` rows per partition.
+
+    Iterative optimisers run one ``treeAggregate`` job per loss evaluation;
+    on a small frame spread over many partitions that is mostly task and
+    shuffle overhead.  Large frames keep their partitioning (coalesce never
+    increases or reshuffles).
+    """
+    n = df.count() if rows is None else rows
+    want = max(1, -(-n // ROWS_PER_PARTITION))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def logistic(reg: float = 0.0, alpha: float = 0.0, max_iter: int = 100) -> LogisticRegression:
     return LogisticRegression(featuresCol="features", labelCol=LABEL, regParam=reg,
                               elasticNetParam=alpha, maxIter=max_iter, standardization=True)
@@ -133,8 +149,6 @@ class FittedModel:
                                      "Feature string, Coefficient double")
 
     def attribute_names(self) -> list[str]:
-        assembler = [s for s in self.model.stages if s.__class__.__name__ == "VectorAssembler"][0]
-        del assembler
         out: list[str] = []
         idx_model = [s for s in self.model.stages if s.__class__.__name__ == "StringIndexerModel"]
         labels = dict(zip(self.categorical, idx_model[0].labelsArray)) if idx_model else {}
@@ -158,6 +172,7 @@ class FittedModel:
 
 def fit(df: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[str],
         full_first: bool = False) -> FittedModel:
+    df = right_size(df)
     levels, modes = training_levels(df, categorical)
     pipe = Pipeline(stages=design_pipeline(numeric, categorical, full_first) + [estimator])
     return FittedModel(pipe.fit(df), list(numeric), list(categorical), levels, modes)
@@ -168,6 +183,7 @@ def cv_lasso(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
              full_first: bool = True) -> FittedModel:
     """M4: L1 logistic regression with the penalty chosen by inner cross validation
     (``lambda.min`` analogue, metric ROC AUC)."""
+    df = right_size(df)
     levels, modes = training_levels(df, categorical)
     lr = logistic(alpha=1.0)
     design = Pipeline(stages=design_pipeline(numeric, categorical, full_first))

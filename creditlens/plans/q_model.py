@@ -128,9 +128,7 @@ def q_feature_set_comparison(spark, sf):
 @query("tune_grid")
 def q_tune_grid(spark, sf):
     """M9: glmnet-style grid (alpha x penalty) on a 5,000-row sample, with and without SMOTE."""
-    train, num, cat = _folds(spark, sf)
-    sample = sampling.sample_n(train, ID, 5000, 42)
-    return training.tune_grid(spark, sample, num, cat, tune_length=3)
+    return training.tuned_grid(spark, sf, tune_length=3)
 
 
 @query("final_fit")

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from creditlens.functions import aggs, scalar
 from creditlens.operators import columns, history, impute, joins, profile, recode
 from creditlens.operators.aggregate import aggregate, with_ever_flags
-from creditlens.operators.quantiles import group_mode
+from creditlens.operators.quantiles import exact_quantiles, group_mode
 from creditlens.plans import feature_matrix as fm
-from creditlens.plans.oracle_sql import APP_DOUBLES, report, rounded, with_fixtures
-from creditlens.plans.q_features import (FM_DOUBLES, HIST_CTES, HISTORY, MEDIANS, MODES,
-                                         STATS_CTE, _aug, _clean, _filled, _recode)
+from creditlens.plans.oracle_sql import APP_DOUBLES, rounded, with_fixtures
+from creditlens.plans.q_features import (HIST_CTES, HISTORY, MEDIANS, MODES, STATS_CTE, _aug,
+                                         _clean, _filled, _recode)
 from creditlens.plans.q_history import POS_CLIENT_DOUBLES, POS_CLIENT_SQL
 from creditlens.plans.registry import query
 from creditlens.sources import fixtures
@@ -79,8 +79,7 @@ def q_n_distinct_na(spark, sf):
     "SELECT MONTHS_BALANCE, count(*) FILTER (WHERE STATUS = 'C') AS n_C, "
     "count(*) FILTER (WHERE STATUS = 'X') AS n_X, "
     "count(*) FILTER (WHERE STATUS IN ('1','2','3','4','5')) AS n_overdue, "
-    "count(*) FILTER (WHERE STATUS IS NULL) AS n_missing FROM bb GROUP BY MONTHS_BALANCE",
-    ) .replace("SELECT MONTHS_BALANCE", "SELECT MONTHS_BALANCE", 1))
+    "count(*) FILTER (WHERE STATUS IS NULL) AS n_missing FROM bb GROUP BY MONTHS_BALANCE"))
 def q_status_counts(spark, sf):
     """A10: conditional counts; a NULL status counts in no bucket."""
     bb = fixtures.bureau_balance(_t(spark, sf))
@@ -312,7 +311,7 @@ def q_ordered_derive(spark, sf):
     Three dependency levels, three ``withColumns`` calls.
     """
     t = _t(spark, sf)
-    med = impute.exact_quantiles(fixtures.application_train(t), ["AMT_ANNUITY"], [0.5])["AMT_ANNUITY"][0]
+    med = exact_quantiles(fixtures.application_train(t), ["AMT_ANNUITY"], [0.5])["AMT_ANNUITY"][0]
     test = fixtures.application_test(t)
     test = test.withColumns({"AMT_ANNUITY_missing": scalar.missing_flag("AMT_ANNUITY")})
     test = test.withColumns({"AMT_ANNUITY": F.coalesce("AMT_ANNUITY", F.lit(med))})
@@ -484,5 +483,3 @@ def q_label_levels(spark, sf):
     return train.select("SK_ID_CURR", F.when(F.col("TARGET") == 0, "No").when(F.col("TARGET") == 1, "Yes")
                         .alias("TARGET_label"), F.col("TARGET").cast("string").alias("TARGET_str"))
 
-
-_unused = (FM_DOUBLES, report)

@@ -48,7 +48,11 @@ def test_unseen_level_is_mapped(spark):
 def test_smote_points_on_segments(spark):
     rows = [(i, 1, Vectors.dense([float(i), float(2 * i)])) for i in range(1, 21)] + \
            [(100 + i, 0, Vectors.dense([50.0 + i, 0.0])) for i in range(200)]
-    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, features vector")
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("SK_ID_CURR", T.LongType()), T.StructField("TARGET", T.IntegerType()),
+                           T.StructField("features", VectorUDT())])
+    df = spark.createDataFrame(rows, schema)
     out = smote(df, "SK_ID_CURR", "features", "TARGET", k=3, seed=1)
     syn = out.where("synthetic").select(vector_to_array("features").alias("x")).collect()
     assert len(syn) == 40
