@@ -90,11 +90,12 @@ def report_round(c) -> Column:
 
 
 def round_frame(df):
-    """Apply ``report_round`` to every double column."""
+    """Apply ``report_round`` to every double column (one projection)."""
     exprs = []
     for f in df.schema.fields:
+        q = f"`{f.name}`"
         if f.dataType.typeName() in ("double", "float"):
-            exprs.append(report_round(f.name).alias(f.name))
+            exprs.append(f"round(round({q}, {SNAP_DIGITS}), {REPORT_DIGITS}) AS {q}")
         else:
-            exprs.append(F.col(f.name))
-    return df.select(*exprs)
+            exprs.append(q)
+    return df.selectExpr(*exprs)

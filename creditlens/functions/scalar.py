@@ -78,6 +78,16 @@ def right_closed_bin_index(c, edges: Sequence[float]) -> Column:
     return _right_closed_case(_c(c), edges, list(range(1, len(edges))))
 
 
+def right_closed_bin_sql(col: str, edges: Sequence[float], labels: Sequence[str] | None = None) -> str:
+    """SQL form of ``right_closed_bin_label`` (one expression string, exact double literals)."""
+    labels = list(labels or cut_labels(edges))
+    e = [f"{float(x)!r}D" for x in edges]
+    parts = [f"WHEN `{col}` >= {e[0]} AND `{col}` <= {e[1]} THEN '{labels[0]}'"]
+    for i in range(2, len(edges)):
+        parts.append(f"WHEN `{col}` > {e[i - 1]} AND `{col}` <= {e[i]} THEN '{labels[i - 1]}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
 def right_closed_bin_label(c, edges: Sequence[float], labels: Sequence[str] | None = None) -> Column:
     """X10 with R's interval labels, e.g. ``[20.5,34]`` and ``(34,45.2]``."""
     return _right_closed_case(_c(c), edges, list(labels or cut_labels(edges)))

@@ -51,8 +51,7 @@ BB_STATUSES = ["C", "X", "0", "1", "2", "3", "4", "5"]
 BB_CREDIT_SPEC = [
     ("bb_MONTHS_BALANCE_count", "count", None),
     ("bb_MONTHS_BALANCE_min", "min", "MONTHS_BALANCE"),
-] + [(f"bb_status_{s}_count", "count_where", lambda s=s: F.col("STATUS") == s)
-   for s in BB_STATUSES]
+] + [(f"bb_status_{s}_count", "count_where", f"STATUS = '{s}'") for s in BB_STATUSES]
 BUREAU_CLIENT_SPEC = [
     ("COUNT_BUREAU_RECORDS", "count", None),
     ("bureau_AMT_CREDIT_SUM_mean", "mean", "AMT_CREDIT_SUM"),
@@ -109,11 +108,10 @@ PREV_CLIENT_SPEC = [
     ("prev_DAYS_FIRST_DRAWING_min", "min", "DAYS_FIRST_DRAWING"),
     ("prev_DAYS_LAST_DUE_max", "max", "DAYS_LAST_DUE"),
     ("prev_DAYS_TERMINATION_max", "max", "DAYS_TERMINATION"),
-    ("prev_FLAG_LAST_APPL_PER_CONTRACT_rate", "rate_where",
-     lambda: F.col("FLAG_LAST_APPL_PER_CONTRACT") == "Y"),
+    ("prev_FLAG_LAST_APPL_PER_CONTRACT_rate", "rate_where", "FLAG_LAST_APPL_PER_CONTRACT = 'Y'"),
     ("prev_NFLAG_LAST_APPL_IN_DAY_rate", "mean", "NFLAG_LAST_APPL_IN_DAY"),
-    ("prev_APPROVED_rate", "rate_where", lambda: F.col("NAME_CONTRACT_STATUS") == "Approved"),
-    ("prev_REFUSED_rate", "rate_where", lambda: F.col("NAME_CONTRACT_STATUS") == "Refused"),
+    ("prev_APPROVED_rate", "rate_where", "NAME_CONTRACT_STATUS = 'Approved'"),
+    ("prev_REFUSED_rate", "rate_where", "NAME_CONTRACT_STATUS = 'Refused'"),
 ]
 
 # --- installments_payments -------------------------------------------------
@@ -152,8 +150,8 @@ def pos_client(pos: DataFrame, **kw) -> DataFrame:
 def bureau_balance_credit(bb: DataFrame) -> DataFrame:
     """D3: months, status counts and an ever-overdue flag per bureau credit."""
     out = aggregate(bb, ["SK_ID_BUREAU"], BB_CREDIT_SPEC)
-    overdue = sum(F.col(f"bb_status_{s}_count") for s in ["1", "2", "3", "4", "5"])
-    return out.withColumn("bb_ever_overdue", (overdue > 0).cast("int"))
+    overdue = " + ".join(f"bb_status_{s}_count" for s in ["1", "2", "3", "4", "5"])
+    return out.withColumn("bb_ever_overdue", F.expr(f"CAST({overdue} > 0 AS INT)"))
 
 
 def bureau_client(bureau: DataFrame, bb: DataFrame) -> DataFrame:
@@ -166,8 +164,7 @@ def bureau_client(bureau: DataFrame, bb: DataFrame) -> DataFrame:
     joined = bureau.join(credit, "SK_ID_BUREAU", "left")
     out = aggregate(joined, [CLIENT], BUREAU_CLIENT_SPEC)
     return out.withColumn(
-        "bureau_DEBT_RATIO",
-        F.try_divide(F.col("bureau_AMT_CREDIT_SUM_debt"), F.col("bureau_AMT_CREDIT_SUM_mean") + 1))
+        "bureau_DEBT_RATIO", F.expr("try_divide(bureau_AMT_CREDIT_SUM_debt, bureau_AMT_CREDIT_SUM_mean + 1)"))
 
 
 def card_account(cc: DataFrame) -> DataFrame:
@@ -186,7 +183,7 @@ def prev_app_client(prev: DataFrame) -> DataFrame:
 
 
 def _with_delay(inst: DataFrame) -> DataFrame:
-    return inst.withColumn("inst_delay", F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT"))
+    return inst.withColumn("inst_delay", F.expr("DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT"))
 
 
 def install_loan(inst: DataFrame) -> DataFrame:

@@ -56,8 +56,8 @@ def zero_fill_columns(columns: Sequence[str]) -> list[str]:
 def zero_fill_flags(df: DataFrame) -> DataFrame:
     """Zero-fill count and history columns, then add ``HAS_*`` flags."""
     cols = zero_fill_columns(df.columns)
-    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(dict(df.dtypes)[c])) for c in cols})
-    return df.withColumns({flag: (F.col(src) > 0).cast("int")
+    df = df.fillna(0, subset=cols)  # 0 of each column's own type
+    return df.withColumns({flag: F.expr(f"CAST(`{src}` > 0 AS INT)")
                            for flag, src in HAS_FLAGS if src in df.columns})
 
 
@@ -124,28 +124,31 @@ def clean_application(df: DataFrame, stats: TrainStats,
     results.  One ``withColumns`` call would read the old values, hence one
     call per dependency level.
     """
-    lit = lambda v: F.lit(v)
     # level 1: flags from raw values
+    df = df.withColumns({f"{c}_missing": F.expr(f"CAST(`{c}` IS NULL AS INT)")
+                         for c in MISSING_FLAG_VARS + ["EMERGENCYSTATE_MODE"]})
+    # level 2: imputation (fitted constants in one fillna), sentinel repair, age in years
+    fills: dict = {c: float(stats.medians[c]) for c in MEDIAN_VARS + EXTRA_MEDIAN_VARS
+                   if stats.medians.get(c) is not None and c in df.columns}
+    fills.update({c: 0.0 for c in list(ZERO_IMPUTE_VARS) + list(building_vars) if c in df.columns})
+    fills.update({c: stats.modes[c] for c in MODE_VARS if stats.modes.get(c) is not None and c in df.columns})
+    df = df.fillna(fills) if fills else df
     df = df.withColumns({
-        **{f"{c}_missing": scalar.missing_flag(c) for c in MISSING_FLAG_VARS},
-        "EMERGENCYSTATE_MODE_missing": scalar.missing_flag("EMERGENCYSTATE_MODE"),
+        "DAYS_EMPLOYED": F.expr(f"CASE WHEN DAYS_EMPLOYED = {scalar.DAYS_EMPLOYED_SENTINEL} THEN 0D "
+                                f"WHEN DAYS_EMPLOYED <> {scalar.DAYS_EMPLOYED_SENTINEL} "
+                                "THEN CAST(abs(DAYS_EMPLOYED) AS DOUBLE) END"),
+        "AGE_YEARS": F.expr("CAST(abs(DAYS_BIRTH) AS DOUBLE) / 365"),
     })
-    # level 2: imputation, sentinel repair, age in years
-    fills = {c: F.coalesce(F.col(c), lit(stats.medians[c]))
-             for c in MEDIAN_VARS + EXTRA_MEDIAN_VARS if c in stats.medians}
-    fills.update({c: F.coalesce(F.col(c), lit(0.0)) for c in ZERO_IMPUTE_VARS if c in df.columns})
-    fills.update({c: F.coalesce(F.col(c), lit(stats.modes[c])) for c in MODE_VARS if c in stats.modes})
-    fills.update({c: F.coalesce(F.col(c), lit(0.0)) for c in building_vars if c in df.columns})
-    fills["DAYS_EMPLOYED"] = scalar.sentinel_repair("DAYS_EMPLOYED")
-    fills["AGE_YEARS"] = scalar.days_to_years("DAYS_BIRTH")
-    df = df.withColumns(fills)
     # level 3: ratios on imputed values, right-closed age bin
+    ratio = "try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE) + 1)"
     df = df.withColumns({
-        "CREDIT_TO_INCOME": scalar.smoothed_ratio("AMT_CREDIT", "AMT_INCOME_TOTAL"),
-        "ANNUITY_TO_INCOME": scalar.smoothed_ratio("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
-        "LOAN_TO_GOODS": scalar.smoothed_ratio("AMT_CREDIT", "AMT_GOODS_PRICE"),
-        "CREDIT_PER_PERSON": scalar.smoothed_ratio("AMT_CREDIT", "CNT_FAM_MEMBERS"),
-        "AGE_BIN": scalar.right_closed_bin_label("AGE_YEARS", stats.age_edges, stats.age_labels),
+        "CREDIT_TO_INCOME": F.expr(ratio.format(a="AMT_CREDIT", b="AMT_INCOME_TOTAL")),
+        "ANNUITY_TO_INCOME": F.expr(ratio.format(a="AMT_ANNUITY", b="AMT_INCOME_TOTAL")),
+        "LOAN_TO_GOODS": F.expr(ratio.format(a="AMT_CREDIT", b="AMT_GOODS_PRICE")),
+        "CREDIT_PER_PERSON": F.expr(ratio.format(a="AMT_CREDIT", b="CNT_FAM_MEMBERS")),
+        "AGE_BIN": F.expr(scalar.right_closed_bin_sql("AGE_YEARS", stats.age_edges, stats.age_labels)),
     })
     # level 4: rows outside the training age range take the training modal bin
-    return df.withColumn("AGE_BIN", F.coalesce(F.col("AGE_BIN"), lit(stats.age_mode_label)))
+    if stats.age_mode_label is None:
+        return df
+    return df.fillna({"AGE_BIN": stats.age_mode_label})

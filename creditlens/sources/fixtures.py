@@ -68,56 +68,59 @@ def _null_when(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-def _pick(levels: list[str], index: Column) -> Column:
-    arr = F.array(*[F.lit(v) for v in levels])
-    return F.element_at(arr, (index % len(levels)).cast("int") + 1)
+def _nul(cond: str, expr: str) -> str:
+    return f"CASE WHEN {cond} THEN NULL ELSE {expr} END"
+
+
+def _pick_sql(levels: list[str], index: str) -> str:
+    arr = ", ".join("'" + v.replace("'", "\\'") + "'" for v in levels)
+    return f"element_at(array({arr}), CAST(({index}) % {len(levels)} AS INT) + 1)"
+
+
+# (column, Spark SQL expression over customer); k = c_custkey, nk = c_nationkey
+_APPLICATION_COLUMNS = [
+    ("SK_ID_CURR", "k"),
+    ("TARGET", "CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS INT)"),
+    ("EXT_SOURCE_1", _nul("k % 7 = 0", "(k * 37 % 1000) / 1000")),
+    ("EXT_SOURCE_2", _nul("k % 11 = 0", "(k * 91 % 1000) / 1000")),
+    ("EXT_SOURCE_3", _nul("k % 9 = 4", "round((c_acctbal + 1000.0D) / 22000 + (k * 73 % 1000) / 2000, 4)")),
+    ("CNT_FAM_MEMBERS", _nul("k % 13 = 0", "CAST(k % 5 + 1 AS DOUBLE)")),
+    ("AMT_ANNUITY", _nul("k % 17 = 0", "CAST(k * 53 % 9000 + 500 AS DOUBLE)")),
+    ("AMT_GOODS_PRICE", _nul("k % 19 = 0", "CAST(k * 101 % 90000 + 9000 AS DOUBLE)")),
+    ("AMT_CREDIT", "CAST(k * 101 % 90000 + 10000 AS DOUBLE)"),
+    ("AMT_INCOME_TOTAL", "CAST(k * 211 % 50000 + 5000 AS DOUBLE)"),
+    ("OWN_CAR_AGE", _nul("k % 3 = 0", "CAST(k % 20 AS DOUBLE)")),
+    ("OBS_30_CNT_SOCIAL_CIRCLE", _nul("k % 23 = 0", "CAST(k % 4 AS DOUBLE)")),
+    ("DEF_30_CNT_SOCIAL_CIRCLE", _nul("k % 23 = 0", "CAST(k % 2 AS DOUBLE)")),
+    ("OBS_60_CNT_SOCIAL_CIRCLE", _nul("k % 23 = 1", "CAST(k % 5 AS DOUBLE)")),
+    ("DEF_60_CNT_SOCIAL_CIRCLE", _nul("k % 23 = 1", "CAST(k % 3 - 1 AS DOUBLE)")),
+    ("DAYS_LAST_PHONE_CHANGE", _nul("k % 29 = 0", "CAST(-(k * 17 % 3000) AS DOUBLE)")),
+    ("DAYS_EMPLOYED", "CASE WHEN k % 6 = 0 THEN 365243D ELSE CAST(-(k * 7 % 8000) AS DOUBLE) END"),
+    ("DAYS_BIRTH", "CAST(-(k * 13 % 17500 + 7500) AS DOUBLE)"),
+    ("AMT_REQ_CREDIT_BUREAU_MON", _nul("k % 8 = 0", "CAST(k % 3 AS DOUBLE)")),
+    ("AMT_REQ_CREDIT_BUREAU_YEAR", _nul("k % 8 = 0", "CAST(k % 4 AS DOUBLE)")),
+    ("APARTMENTS_AVG", _nul("k % 4 = 0", "(k * 7 % 100) / 100")),
+    ("BASEMENTAREA_AVG", _nul("k % 5 = 0", "(k * 11 % 100) / 100")),
+    ("LIVINGAREA_MEDI", _nul("k % 3 = 2", "(k * 13 % 100) / 100")),
+    ("NAME_TYPE_SUITE", _nul("k % 10 = 0", _pick_sql(NAME_TYPE_SUITE_LEVELS, "k * 3 + nk"))),
+    ("OCCUPATION_TYPE", _nul("k % 7 = 3", _pick_sql(OCCUPATION_TYPE_LEVELS, "k + nk"))),
+    ("FONDKAPREMONT_MODE", _nul("k % 3 = 1", _pick_sql(FONDKAPREMONT_MODE_LEVELS, "k"))),
+    ("HOUSETYPE_MODE", _nul("k % 4 = 1", _pick_sql(HOUSETYPE_MODE_LEVELS, "k * 7"))),
+    ("WALLSMATERIAL_MODE", _nul("k % 5 = 2", _pick_sql(WALLSMATERIAL_MODE_LEVELS, "k * 3"))),
+    ("EMERGENCYSTATE_MODE", _nul("k % 6 = 1", _pick_sql(EMERGENCYSTATE_MODE_LEVELS, "k * 3 + nk"))),
+    ("CODE_GENDER", "CASE WHEN k % 50 = 1 THEN 'XNA' WHEN k % 2 = 0 THEN 'F' ELSE 'M' END"),
+    ("NAME_INCOME_TYPE", _pick_sql(NAME_INCOME_TYPE_LEVELS, "k * 5 + nk")),
+    ("NAME_EDUCATION_TYPE", _pick_sql(NAME_EDUCATION_TYPE_LEVELS, "k * 11 + nk")),
+    ("NAME_FAMILY_STATUS", _pick_sql(NAME_FAMILY_STATUS_LEVELS, "k * 13")),
+    ("NAME_HOUSING_TYPE", _pick_sql(NAME_HOUSING_TYPE_LEVELS, "k * 17 + nk")),
+    ("ORGANIZATION_TYPE", _pick_sql(ORGANIZATION_TYPE_LEVELS, "k * 19 + nk")),
+]
 
 
 def application(t: Tables) -> DataFrame:
-    """Application rows for every client (train and test together)."""
-    c = t.customer
-    k = F.col("c_custkey")
-    nk = F.col("c_nationkey").cast("long")
-    dbl = lambda e: e.cast("double")
-    return c.select(
-        k.alias("SK_ID_CURR"),
-        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).cast("int").alias("TARGET"),
-        _null_when(k % 7 == 0, (k * 37 % 1000) / 1000).alias("EXT_SOURCE_1"),
-        _null_when(k % 11 == 0, (k * 91 % 1000) / 1000).alias("EXT_SOURCE_2"),
-        _null_when(k % 9 == 4, F.round((F.col("c_acctbal") + 1000.0) / 22000
-                                        + (k * 73 % 1000) / 2000, 4)).alias("EXT_SOURCE_3"),
-        _null_when(k % 13 == 0, dbl(k % 5 + 1)).alias("CNT_FAM_MEMBERS"),
-        _null_when(k % 17 == 0, dbl(k * 53 % 9000 + 500)).alias("AMT_ANNUITY"),
-        _null_when(k % 19 == 0, dbl(k * 101 % 90000 + 9000)).alias("AMT_GOODS_PRICE"),
-        dbl(k * 101 % 90000 + 10000).alias("AMT_CREDIT"),
-        dbl(k * 211 % 50000 + 5000).alias("AMT_INCOME_TOTAL"),
-        _null_when(k % 3 == 0, dbl(k % 20)).alias("OWN_CAR_AGE"),
-        _null_when(k % 23 == 0, dbl(k % 4)).alias("OBS_30_CNT_SOCIAL_CIRCLE"),
-        _null_when(k % 23 == 0, dbl(k % 2)).alias("DEF_30_CNT_SOCIAL_CIRCLE"),
-        _null_when(k % 23 == 1, dbl(k % 5)).alias("OBS_60_CNT_SOCIAL_CIRCLE"),
-        _null_when(k % 23 == 1, dbl(k % 3 - 1)).alias("DEF_60_CNT_SOCIAL_CIRCLE"),
-        _null_when(k % 29 == 0, dbl(-(k * 17 % 3000))).alias("DAYS_LAST_PHONE_CHANGE"),
-        F.when(k % 6 == 0, F.lit(365243.0)).otherwise(dbl(-(k * 7 % 8000))).alias("DAYS_EMPLOYED"),
-        dbl(-(k * 13 % 17500 + 7500)).alias("DAYS_BIRTH"),
-        _null_when(k % 8 == 0, dbl(k % 3)).alias("AMT_REQ_CREDIT_BUREAU_MON"),
-        _null_when(k % 8 == 0, dbl(k % 4)).alias("AMT_REQ_CREDIT_BUREAU_YEAR"),
-        _null_when(k % 4 == 0, (k * 7 % 100) / 100).alias("APARTMENTS_AVG"),
-        _null_when(k % 5 == 0, (k * 11 % 100) / 100).alias("BASEMENTAREA_AVG"),
-        _null_when(k % 3 == 2, (k * 13 % 100) / 100).alias("LIVINGAREA_MEDI"),
-        _null_when(k % 10 == 0, _pick(NAME_TYPE_SUITE_LEVELS, k * 3 + nk)).alias("NAME_TYPE_SUITE"),
-        _null_when(k % 7 == 3, _pick(OCCUPATION_TYPE_LEVELS, k + nk)).alias("OCCUPATION_TYPE"),
-        _null_when(k % 3 == 1, _pick(FONDKAPREMONT_MODE_LEVELS, k)).alias("FONDKAPREMONT_MODE"),
-        _null_when(k % 4 == 1, _pick(HOUSETYPE_MODE_LEVELS, k * 7)).alias("HOUSETYPE_MODE"),
-        _null_when(k % 5 == 2, _pick(WALLSMATERIAL_MODE_LEVELS, k * 3)).alias("WALLSMATERIAL_MODE"),
-        _null_when(k % 6 == 1, _pick(EMERGENCYSTATE_MODE_LEVELS, k * 3 + nk)).alias("EMERGENCYSTATE_MODE"),
-        F.when(k % 50 == 1, F.lit("XNA")).when(k % 2 == 0, F.lit("F")).otherwise(F.lit("M"))
-        .alias("CODE_GENDER"),
-        _pick(NAME_INCOME_TYPE_LEVELS, k * 5 + nk).alias("NAME_INCOME_TYPE"),
-        _pick(NAME_EDUCATION_TYPE_LEVELS, k * 11 + nk).alias("NAME_EDUCATION_TYPE"),
-        _pick(NAME_FAMILY_STATUS_LEVELS, k * 13).alias("NAME_FAMILY_STATUS"),
-        _pick(NAME_HOUSING_TYPE_LEVELS, k * 17 + nk).alias("NAME_HOUSING_TYPE"),
-        _pick(ORGANIZATION_TYPE_LEVELS, k * 19 + nk).alias("ORGANIZATION_TYPE"),
-    )
+    """Application rows for every client (train and test together), one projection."""
+    c = t.customer.selectExpr("c_custkey AS k", "CAST(c_nationkey AS BIGINT) AS nk", "c_acctbal")
+    return c.selectExpr(*[f"{e} AS {name}" for name, e in _APPLICATION_COLUMNS])
 
 
 def is_test(id_col: str = "SK_ID_CURR") -> Column:
