@@ -94,15 +94,16 @@ def fit_train_stats(train: DataFrame) -> TrainStats:
     long = num.unpivot([], med_cols + ["AGE_YEARS"], "variable", "value")
     q = long_quantiles(long, ["variable"], [0.5] + AGE_PROBS)
     medians = {c: q.get((c,), [None])[0] for c in med_cols}
-    modes = column_modes(train, [c for c in MODE_VARS if c in train.columns])
-    ages = _age_years(train)
     edges = q[("AGE_YEARS",)][1:]
     labels = scalar.cut_labels(edges)
-    # Modal age bin of the training rows; lowest bin wins a tie.
-    bins = (ages.select(scalar.right_closed_bin_index("AGE_YEARS", edges).alias("b"))
-            .where(F.col("b").isNotNull()).groupBy("b").count()
-            .orderBy(F.col("count").desc(), F.col("b")).first())
-    return TrainStats(medians, modes, edges, labels, None if bins is None else bins["b"])
+    # Categorical modes and the modal age bin in one pass; the bin index is
+    # zero-padded so the smallest-level tie rule picks the lowest bin.
+    mode_cols = [c for c in MODE_VARS if c in train.columns]
+    bin_ix = scalar.right_closed_bin_index(scalar.days_to_years("DAYS_BIRTH"), edges)
+    modes = column_modes(train.withColumn("_AGE_BIN_IX", F.lpad(bin_ix.cast("string"), 5, "0")),
+                         mode_cols + ["_AGE_BIN_IX"])
+    mode_bin = modes.pop("_AGE_BIN_IX")
+    return TrainStats(medians, modes, edges, labels, None if mode_bin is None else int(mode_bin))
 
 
 def stats_frame(spark, stats: TrainStats) -> DataFrame:

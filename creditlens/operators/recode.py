@@ -45,22 +45,28 @@ RECODE_RULES: dict[str, tuple[list[tuple], object]] = {
 }
 
 
-def _result(col: Column, result) -> Column:
-    return col if result is KEEP else F.lit(result)
+def _q(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def recode_expr(col_name: str, rules: list[tuple], default) -> Column:
-    col = F.col(col_name)
-    expr = None
+def recode_sql(col_name: str, rules: list[tuple], default) -> str:
+    """The rules of one column as a single SQL ``CASE`` expression."""
+    col = f"`{col_name}`"
+    res = lambda r: col if r is KEEP else _q(r)
+    parts = []
     for kind, values, result in rules:
         if kind == "in":
-            cond = col.isin(list(values))
+            cond = f"{col} IN ({', '.join(_q(v) for v in values)})"
         elif kind == "prefix":
-            cond = col.startswith(values)
+            cond = f"startswith({col}, {_q(values)})"
         else:  # pragma: no cover - programming error
             raise ValueError(kind)
-        expr = F.when(cond, _result(col, result)) if expr is None else expr.when(cond, _result(col, result))
-    return expr.otherwise(_result(col, default))
+        parts.append(f"WHEN {cond} THEN {res(result)}")
+    return f"CASE {' '.join(parts)} ELSE {res(default)} END"
+
+
+def recode_expr(col_name: str, rules: list[tuple], default) -> Column:
+    return F.expr(recode_sql(col_name, rules, default))
 
 
 def recode_levels(df: DataFrame, rules: dict = RECODE_RULES) -> DataFrame:

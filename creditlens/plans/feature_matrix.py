@@ -38,12 +38,19 @@ def augment(app: DataFrame, aggregates: list[DataFrame]) -> DataFrame:
 
 
 def building_vars(app: DataFrame) -> list[str]:
-    """Numeric building columns named by the dictionary."""
+    """Numeric building columns named by the dictionary (S2, as a Spark filter)."""
     d = fixtures.data_dictionary(app)
     return dict_select(d, fixtures.APPLICATION_TABLE_NAME, fixtures.BUILDING_DESCRIPTION,
                        exclude=fixtures.BUILDING_CATEGORICAL)
 
 
+def building_vars_schema_only(app: DataFrame) -> list[str]:
+    """Same selection as ``building_vars`` on the schema-sized dictionary rows, without a job."""
+    rows = [r[1] for r in fixtures.dictionary_rows(app)
+            if r[0] == fixtures.APPLICATION_TABLE_NAME and r[2] == fixtures.BUILDING_DESCRIPTION]
+    return [r for r in rows if r not in fixtures.BUILDING_CATEGORICAL]
+
+
 @dataclass
 class FeatureBuild:
     train: DataFrame
@@ -63,7 +70,7 @@ def build(spark: SparkSession, sf_dir: str, persist_aggregates: bool = False) ->
     # The fitted statistics read application columns only; the joins do not
     # change the row count, so fitting on the raw training rows is the same.
     stats = impute.fit_train_stats(train_app)
-    bvars = building_vars(train_app)
+    bvars = building_vars_schema_only(train_app)
 
     def finish(app: DataFrame) -> DataFrame:
         return recode.recode_levels(impute.clean_application(augment(app, aggs), stats, bvars))

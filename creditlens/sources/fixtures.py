@@ -64,10 +64,6 @@ APPLICATION_TABLE_NAME = "application_{train|test}.csv"
 TEST_MODULUS = 5
 
 
-def _null_when(cond: Column, value: Column) -> Column:
-    return F.when(cond, F.lit(None)).otherwise(value)
-
-
 def _nul(cond: str, expr: str) -> str:
     return f"CASE WHEN {cond} THEN NULL ELSE {expr} END"
 
@@ -143,114 +139,79 @@ def _line_orders(t: Tables) -> DataFrame:
 
 def pos_cash(t: Tables) -> DataFrame:
     """POS_CASH_balance: (client, loan, month) rows of POS loans."""
-    lo = _line_orders(t).filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    dpd_null = F.col("l_orderkey") % 7 == 0
-    q = F.col("l_quantity")
-    return lo.select(
-        F.col("o_custkey").alias("SK_ID_CURR"),
-        F.col("l_orderkey").alias("SK_ID_PREV"),
-        (-F.col("l_linenumber")).cast("double").alias("MONTHS_BALANCE"),
-        _null_when(F.col("l_linenumber") == 3, q).alias("CNT_INSTALMENT"),
-        _null_when(F.col("l_linenumber") == 4, q - F.col("l_linenumber")).alias("CNT_INSTALMENT_FUTURE"),
-        F.when(dpd_null, F.lit(None)).when(F.col("l_returnflag") == "R", q - 40)
-        .otherwise(F.lit(0.0)).alias("SK_DPD"),
-        F.when(dpd_null, F.lit(None))
-        .when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), q - 45)
-        .otherwise(F.lit(0.0)).alias("SK_DPD_DEF"),
-    )
+    lo = _line_orders(t).where("o_orderpriority IN ('1-URGENT', '2-HIGH')")
+    return lo.selectExpr(
+        "o_custkey AS SK_ID_CURR", "l_orderkey AS SK_ID_PREV",
+        "CAST(-l_linenumber AS DOUBLE) AS MONTHS_BALANCE",
+        _nul("l_linenumber = 3", "l_quantity") + " AS CNT_INSTALMENT",
+        _nul("l_linenumber = 4", "l_quantity - l_linenumber") + " AS CNT_INSTALMENT_FUTURE",
+        "CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_returnflag = 'R' THEN l_quantity - 40 "
+        "ELSE 0D END AS SK_DPD",
+        "CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_returnflag = 'R' AND l_linestatus = 'F' "
+        "THEN l_quantity - 45 ELSE 0D END AS SK_DPD_DEF")
 
 
 def installments(t: Tables) -> DataFrame:
     """installments_payments: one row per line of every order."""
-    lo = _line_orders(t)
-    no_pay = F.col("l_linenumber") == 5
-    return lo.select(
-        F.col("o_custkey").alias("SK_ID_CURR"),
-        F.col("l_orderkey").alias("SK_ID_PREV"),
-        (F.col("l_linenumber") * 30).cast("double").alias("DAYS_INSTALMENT"),
-        _null_when(no_pay, F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate"))
-                   .cast("double")).alias("DAYS_ENTRY_PAYMENT"),
-        F.col("l_extendedprice").alias("AMT_INSTALMENT"),
-        _null_when(no_pay, F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("AMT_PAYMENT"),
-    )
+    return _line_orders(t).selectExpr(
+        "o_custkey AS SK_ID_CURR", "l_orderkey AS SK_ID_PREV",
+        "CAST(l_linenumber * 30 AS DOUBLE) AS DAYS_INSTALMENT",
+        _nul("l_linenumber = 5", "CAST(datediff(to_date(l_shipdate), to_date(o_orderdate)) AS DOUBLE)")
+        + " AS DAYS_ENTRY_PAYMENT",
+        "l_extendedprice AS AMT_INSTALMENT",
+        _nul("l_linenumber = 5", "l_extendedprice * (1 - l_discount)") + " AS AMT_PAYMENT")
 
 
 def previous_application(t: Tables) -> DataFrame:
-    o = t.orders
-    status = F.col("o_orderstatus")
-    decision = (-F.datediff(F.lit("2002-01-01").cast("date"), F.to_date("o_orderdate"))).cast("double")
-    return o.select(
-        F.col("o_custkey").alias("SK_ID_CURR"),
-        F.col("o_orderkey").alias("SK_ID_PREV"),
-        F.col("o_totalprice").alias("AMT_APPLICATION"),
-        _null_when(status == "P", F.col("o_totalprice") * 0.9).alias("AMT_CREDIT"),
-        _null_when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") / 12).alias("AMT_ANNUITY"),
-        decision.alias("DAYS_DECISION"),
-        F.when(status == "F", decision + 10).alias("DAYS_FIRST_DRAWING"),
-        F.when(status != "O", decision + 365).alias("DAYS_LAST_DUE"),
-        F.when(status == "F", decision + 400).alias("DAYS_TERMINATION"),
-        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(0.0)).otherwise(F.lit(1.0))
-        .alias("NFLAG_LAST_APPL_IN_DAY"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("N")).otherwise(F.lit("Y"))
-        .alias("FLAG_LAST_APPL_PER_CONTRACT"),
-        F.when(status == "F", F.lit("Approved")).when(status == "O", F.lit("Refused"))
-        .otherwise(F.lit("Canceled")).alias("NAME_CONTRACT_STATUS"),
-    )
+    d = "CAST(-datediff(DATE'2002-01-01', to_date(o_orderdate)) AS DOUBLE)"
+    return t.orders.selectExpr(
+        "o_custkey AS SK_ID_CURR", "o_orderkey AS SK_ID_PREV", "o_totalprice AS AMT_APPLICATION",
+        _nul("o_orderstatus = 'P'", "o_totalprice * 0.9D") + " AS AMT_CREDIT",
+        _nul("o_orderkey % 7 = 0", "o_totalprice / 12") + " AS AMT_ANNUITY",
+        f"{d} AS DAYS_DECISION",
+        f"CASE WHEN o_orderstatus = 'F' THEN {d} + 10 END AS DAYS_FIRST_DRAWING",
+        f"CASE WHEN o_orderstatus <> 'O' THEN {d} + 365 END AS DAYS_LAST_DUE",
+        f"CASE WHEN o_orderstatus = 'F' THEN {d} + 400 END AS DAYS_TERMINATION",
+        "CASE WHEN o_orderpriority = '5-LOW' THEN 0D ELSE 1D END AS NFLAG_LAST_APPL_IN_DAY",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'N' ELSE 'Y' END AS FLAG_LAST_APPL_PER_CONTRACT",
+        "CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END "
+        "AS NAME_CONTRACT_STATUS")
 
 
 def bureau(t: Tables) -> DataFrame:
-    o = t.orders
-    status = F.col("o_orderstatus")
-    price = F.col("o_totalprice")
-    key = F.col("o_orderkey")
-    return o.select(
-        F.col("o_custkey").alias("SK_ID_CURR"),
-        key.alias("SK_ID_BUREAU"),
-        price.alias("AMT_CREDIT_SUM"),
-        _null_when(key % 7 == 1, price / 3).alias("AMT_CREDIT_SUM_DEBT"),
-        F.when(status == "P", price / 10).otherwise(F.lit(0.0)).alias("AMT_CREDIT_SUM_OVERDUE"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", price / 5).alias("AMT_CREDIT_MAX_OVERDUE"),
-        (-(key % 3000)).cast("double").alias("DAYS_CREDIT"),
-        F.when(status != "O", (key % 2000 - 1000).cast("double")).alias("DAYS_CREDIT_ENDDATE"),
-        F.when(status == "O", F.lit("Active")).otherwise(F.lit("Closed")).alias("CREDIT_ACTIVE"),
-    )
+    return t.orders.selectExpr(
+        "o_custkey AS SK_ID_CURR", "o_orderkey AS SK_ID_BUREAU", "o_totalprice AS AMT_CREDIT_SUM",
+        _nul("o_orderkey % 7 = 1", "o_totalprice / 3") + " AS AMT_CREDIT_SUM_DEBT",
+        "CASE WHEN o_orderstatus = 'P' THEN o_totalprice / 10 ELSE 0D END AS AMT_CREDIT_SUM_OVERDUE",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice / 5 END AS AMT_CREDIT_MAX_OVERDUE",
+        "CAST(-(o_orderkey % 3000) AS DOUBLE) AS DAYS_CREDIT",
+        "CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderkey % 2000 - 1000 AS DOUBLE) END "
+        "AS DAYS_CREDIT_ENDDATE",
+        "CASE WHEN o_orderstatus = 'O' THEN 'Active' ELSE 'Closed' END AS CREDIT_ACTIVE")
 
 
 def bureau_balance(t: Tables) -> DataFrame:
-    li = t.lineitem
-    return li.select(
-        F.col("l_orderkey").alias("SK_ID_BUREAU"),
-        (-F.col("l_linenumber")).cast("double").alias("MONTHS_BALANCE"),
-        F.when(F.col("l_linenumber") == 7, F.lit(None))
-        .when(F.col("l_linestatus") == "F", F.lit("C"))
-        .when(F.col("l_returnflag") == "N", F.lit("X"))
-        .otherwise((F.floor("l_quantity") % 6).cast("string")).alias("STATUS"),
-    )
+    return t.lineitem.selectExpr(
+        "l_orderkey AS SK_ID_BUREAU", "CAST(-l_linenumber AS DOUBLE) AS MONTHS_BALANCE",
+        "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linestatus = 'F' THEN 'C' "
+        "WHEN l_returnflag = 'N' THEN 'X' ELSE CAST(floor(l_quantity) % 6 AS STRING) END AS STATUS")
 
 
 def credit_card_balance(t: Tables) -> DataFrame:
-    e = t.events
-    uid = F.col("user_id")
-    eid = F.col("event_id")
-    etype = F.col("event_type")
-    type_ix = (F.when(etype == "view", 1).when(etype == "click", 2).when(etype == "purchase", 3)
-               .when(etype == "signup", 4).otherwise(5))
-    dpd_null = uid % 10 == 3
-    return e.select(
-        uid.alias("SK_ID_CURR"),
-        (uid * 10 + type_ix).alias("SK_ID_PREV"),
-        (-F.dayofmonth("ts")).cast("double").alias("MONTHS_BALANCE"),
-        F.col("value").alias("AMT_BALANCE"),
-        (uid * 1000 + 5000).cast("double").alias("AMT_CREDIT_LIMIT_ACTUAL"),
-        _null_when(eid % 9 == 0, F.col("value") / 2).alias("AMT_PAYMENT_CURRENT"),
-        (F.col("value") / 2).alias("AMT_PAYMENT_TOTAL_CURRENT"),
-        (eid % 4).cast("double").alias("CNT_DRAWINGS_CURRENT"),
-        _null_when(eid % 5 == 0, (eid % 30).cast("double")).alias("CNT_INSTALMENT_MATURE_CUM"),
-        F.when(dpd_null, F.lit(None)).when(etype == "error", (eid % 40).cast("double"))
-        .otherwise(F.lit(0.0)).alias("SK_DPD"),
-        F.when(dpd_null, F.lit(None)).when((etype == "error") & (F.col("value") > 50), F.lit(1.0))
-        .otherwise(F.lit(0.0)).alias("SK_DPD_DEF"),
-    )
+    type_ix = ("CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 "
+               "WHEN 'signup' THEN 4 ELSE 5 END")
+    return t.events.selectExpr(
+        "user_id AS SK_ID_CURR", f"user_id * 10 + {type_ix} AS SK_ID_PREV",
+        "CAST(-dayofmonth(ts) AS DOUBLE) AS MONTHS_BALANCE", "value AS AMT_BALANCE",
+        "CAST(user_id * 1000 + 5000 AS DOUBLE) AS AMT_CREDIT_LIMIT_ACTUAL",
+        _nul("event_id % 9 = 0", "value / 2") + " AS AMT_PAYMENT_CURRENT",
+        "value / 2 AS AMT_PAYMENT_TOTAL_CURRENT",
+        "CAST(event_id % 4 AS DOUBLE) AS CNT_DRAWINGS_CURRENT",
+        _nul("event_id % 5 = 0", "CAST(event_id % 30 AS DOUBLE)") + " AS CNT_INSTALMENT_MATURE_CUM",
+        "CASE WHEN user_id % 10 = 3 THEN NULL WHEN event_type = 'error' THEN CAST(event_id % 40 AS DOUBLE) "
+        "ELSE 0D END AS SK_DPD",
+        "CASE WHEN user_id % 10 = 3 THEN NULL WHEN event_type = 'error' AND value > 50 THEN 1D "
+        "ELSE 0D END AS SK_DPD_DEF")
 
 
 def data_dictionary(app: DataFrame) -> DataFrame:
@@ -260,14 +221,19 @@ def data_dictionary(app: DataFrame) -> DataFrame:
     columns are the ones with an _AVG / _MODE / _MEDI suffix, as in the
     public dictionary.
     """
-    spark = app.sparkSession
+    return app.sparkSession.createDataFrame(
+        dictionary_rows(app), "Table string, Row string, Description string, Special string")
+
+
+def dictionary_rows(app: DataFrame) -> list[tuple]:
+    """The dictionary as plain rows (one per column of the application schema)."""
     rows = []
     for name in app.columns:
         building = name.endswith(("_AVG", "_MODE", "_MEDI"))
         rows.append((APPLICATION_TABLE_NAME, name,
                      BUILDING_DESCRIPTION if building else f"Application column {name}",
                      "normalized" if building else None))
-    return spark.createDataFrame(rows, "Table string, Row string, Description string, Special string")
+    return rows
 
 
 def scored_rows(t: Tables) -> DataFrame:
