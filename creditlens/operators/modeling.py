@@ -174,8 +174,21 @@ def fit(df: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[
         full_first: bool = False) -> FittedModel:
     df = right_size(df)
     levels, modes = training_levels(df, categorical)
-    pipe = Pipeline(stages=design_pipeline(numeric, categorical, full_first) + [estimator])
-    return FittedModel(pipe.fit(df), list(numeric), list(categorical), levels, modes)
+    design = Pipeline(stages=design_pipeline(numeric, categorical, full_first)).fit(df)
+    x = design_rows(design.transform(df))
+    model = PipelineModel(stages=design.stages + [estimator.fit(x)])
+    return FittedModel(model, list(numeric), list(categorical), levels, modes)
+
+
+def design_rows(x: DataFrame, cols: Sequence[str] = ("features", LABEL)) -> DataFrame:
+    """Materialise design rows before an iterative fit.
+
+    An optimiser runs one job per loss evaluation and every task carries
+    the lineage of its input; ``checkpoint()`` (to the shared
+    ``spark.checkpoint.dir``) leaves a one-step lineage of stored vectors
+    and survives executor loss.
+    """
+    return right_size(x.select(*cols)).checkpoint()
 
 
 def cv_lasso(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], n_lambda: int = 6,
@@ -192,7 +205,7 @@ def cv_lasso(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid,
                         evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
                         numFolds=inner_folds, seed=seed, parallelism=parallelism)
-    best = cv.fit(design_model.transform(df)).bestModel
+    best = cv.fit(design_rows(design_model.transform(df))).bestModel
     model = PipelineModel(stages=design_model.stages + [best])
     return FittedModel(model, list(numeric), list(categorical), levels, modes)
 

@@ -124,17 +124,29 @@ def fold_designs(df: DataFrame, numeric, categorical, k: int, seed: int, use_smo
     applied to that part only -- evaluation rows are never oversampled.
     Computed once per fold and shared by every grid point.
     """
+    return [(smoted(x_tr, seed + f) if use_smote else x_tr, x_te)
+            for f, (x_tr, x_te) in enumerate(plain_fold_designs(df, numeric, categorical, k, seed), 1)]
+
+
+def smoted(x_tr: DataFrame, seed: int) -> DataFrame:
+    """SMOTE on a fold's training design rows (same design, so it can be shared)."""
+    cols = (ID, "features", LABEL)
+    return modeling.design_rows(smote(x_tr, ID, "features", LABEL, seed=seed).select(*cols), cols)
+
+
+def plain_fold_designs(df: DataFrame, numeric, categorical, k: int, seed: int) -> list:
+    """Per fold (in parallel): design fitted on the training part, both parts materialised."""
     folds = sampling.kfold_assign(df, ID, k, seed).persist()
-    out = []
-    for f in range(1, k + 1):
+    cols = (ID, "features", LABEL)
+
+    def one(f):
         tr, te = folds.where(F.col("fold") != f), folds.where(F.col("fold") == f)
         design, levels, modes = _design(tr, numeric, categorical)
-        x_tr = design.transform(tr).select(ID, "features", LABEL)
-        if use_smote:
-            x_tr = smote(x_tr, ID, "features", LABEL, seed=seed + f).select(ID, "features", LABEL)
-        x_te = design.transform(modeling.align_levels(te, levels, modes)).select(ID, "features", LABEL)
-        out.append((modeling.right_size(x_tr).persist(), modeling.right_size(x_te).persist()))
-    return out
+        x_tr = design.transform(tr)
+        x_te = design.transform(modeling.align_levels(te, levels, modes))
+        return modeling.design_rows(x_tr, cols), modeling.design_rows(x_te, cols)
+
+    return _parallel(one, list(range(1, k + 1)))
 
 
 def cv_auc_grid(designs: list, points: list[tuple[float, float]]) -> dict:
@@ -163,9 +175,13 @@ def tune_grid(spark: SparkSession, df: DataFrame, numeric, categorical, tune_len
     """M9: grid search on a seeded sample, without and with SMOTE."""
     df = df.persist()
     points = grid_points(tune_length)
+    plain = plain_fold_designs(df, numeric, categorical, k, seed)  # shared by both arms
+    arms = {"none": plain,
+            "smote": _parallel(lambda fd: (smoted(fd[1][0], seed + fd[0]), fd[1][1]),
+                               list(enumerate(plain, 1)))}
     rows = []
-    for arm, use in (("none", False), ("smote", True)):
-        res = cv_auc_grid(fold_designs(df, numeric, categorical, k, seed, use), points)
+    for arm, designs in arms.items():
+        res = cv_auc_grid(designs, points)
         rows += [(arm, reg, alpha, res[(reg, alpha)]) for reg, alpha in points]
     return spark.createDataFrame(rows, "sampling string, regParam double, elasticNetParam double, cv_auc double")
 
@@ -210,7 +226,7 @@ def final_fit(spark: SparkSession, sf: str, tune_length: int = 3, seed: int = 42
     tr, va = split.where(F.col("split") == "train"), split.where(F.col("split") == "validation")
     design, levels, modes = _design(tr, num, cat)
     x_tr = smote(design.transform(tr).select(ID, "features", LABEL), ID, "features", LABEL, seed=seed)
-    lr = modeling.logistic(reg, alpha).fit(modeling.right_size(x_tr.select(ID, "features", LABEL)))
+    lr = modeling.logistic(reg, alpha).fit(modeling.design_rows(x_tr))
     model = modeling.FittedModel(PipelineModel(stages=design.stages + [lr]), num, cat, levels, modes)
     val = model.score(va).select(ID, LABEL, "CODE_GENDER", "AGE_BIN", "NAME_EDUCATION_TYPE", "p_default")
     out = FinalFit(model, cv, auc_of(val), val, reg, alpha)

@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CREDITLENS_DRIVER_MEMORY", "16g"))
     )
+    if master.startswith("local"):
+        # one executor: waiting for a "more local" slot only idles cores
+        builder = builder.config("spark.locality.wait", "0s")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
