@@ -59,20 +59,26 @@ class FeatureBuild:
     building: list[str]
 
 
-def build(spark: SparkSession, sf_dir: str, persist_aggregates: bool = False) -> FeatureBuild:
+def build(spark: SparkSession, sf_dir: str, materialize: bool = False) -> FeatureBuild:
+    """Feature matrices for train and test from one pass over the history tables.
+
+    All clients go through the star join and the (row-wise) cleaning
+    together; train and test are filters of that one frame, so the five
+    history aggregations run once even when both matrices are needed.  A
+    query for one side only gets the split filter pushed into the
+    application scan by Catalyst.  ``materialize=True`` checkpoints the
+    combined frame (shared folder) for repeated use.
+    """
     t = Tables(spark, sf_dir)
     train_app = fixtures.application_train(t)
-    test_app = fixtures.application_test(t)
-    aggs = client_aggregates(t)
-    if persist_aggregates:
-        # Shared by the train and the test plan: compute once.
-        aggs = [a.persist() for a in aggs]
     # The fitted statistics read application columns only; the joins do not
     # change the row count, so fitting on the raw training rows is the same.
     stats = impute.fit_train_stats(train_app)
     bvars = building_vars_schema_only(train_app)
-
-    def finish(app: DataFrame) -> DataFrame:
-        return recode.recode_levels(impute.clean_application(augment(app, aggs), stats, bvars))
-
-    return FeatureBuild(finish(train_app), finish(test_app), stats, bvars)
+    everyone = recode.recode_levels(impute.clean_application(
+        augment(fixtures.application(t), client_aggregates(t)), stats, bvars))
+    if materialize:
+        everyone = everyone.checkpoint()
+    train = everyone.where(~fixtures.is_test())
+    test = everyone.where(fixtures.is_test()).drop("TARGET")
+    return FeatureBuild(train, test, stats, bvars)

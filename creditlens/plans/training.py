@@ -37,10 +37,7 @@ def feature_build(spark: SparkSession, sf: str) -> fm.FeatureBuild:
     """
     key = ("fm", sf, spark.sparkContext.applicationId)
     if key not in _CACHE:
-        b = fm.build(spark, sf)
-        b.train = b.train.checkpoint()
-        b.test = b.test.checkpoint()
-        _CACHE[key] = b
+        _CACHE[key] = fm.build(spark, sf, materialize=True)
     return _CACHE[key]
 
 

@@ -64,6 +64,19 @@ def test_smote_points_on_segments(spark):
     assert out.where(F.col("SK_ID_CURR") < 0).count() == 40
 
 
+def test_smote_never_reaches_evaluation_folds(spark):
+    df = _separable(spark, n=300)
+    designs = training.fold_designs(df, ["x1", "noise"], ["g"], 3, 42, True)
+    ids_seen = set()
+    for x_tr, x_te in designs:
+        assert x_te.where(F.col("SK_ID_CURR") < 0).count() == 0
+        assert x_tr.where(F.col("SK_ID_CURR") < 0).count() > 0
+        te_ids = {r[0] for r in x_te.select("SK_ID_CURR").collect()}
+        assert not te_ids & {r[0] for r in x_tr.select("SK_ID_CURR").collect()}
+        ids_seen |= te_ids
+    assert len(ids_seen) == 300  # every row is evaluated exactly once
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as entry
     df = entry.entry(spark)
