@@ -87,6 +87,14 @@ def test_partition_independence(spark, parts):
                        .collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    key = (hash(tuple(folds)), hash(tuple(split)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        scored = fixtures.scored_rows(Tables(spark, SF001)).repartition(parts)
+        auc = round(evaluate.roc_auc(scored, "p_default", "TARGET").first().auc, 12)
+        sweep = tuple(tuple(r) for r in evaluate.threshold_sweep(scored, "p_default", "TARGET")
+                      .orderBy("threshold").collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    key = (hash(tuple(folds)), hash(tuple(split)), auc, hash(sweep))
     test_partition_independence.seen = getattr(test_partition_independence, "seen", set()) | {key}
     assert len(test_partition_independence.seen) == 1
