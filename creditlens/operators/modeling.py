@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from creditlens.session import checkpoint_dir
+
 ID, LABEL = "SK_ID_CURR", "TARGET"
 
 
@@ -188,6 +190,7 @@ def design_rows(x: DataFrame, cols: Sequence[str] = ("features", LABEL)) -> Data
     ``spark.checkpoint.dir``) leaves a one-step lineage of stored vectors
     and survives executor loss.
     """
+    checkpoint_dir(x.sparkSession)  # the session's shared folder (a scratch one only when unset)
     return right_size(x.select(*cols)).checkpoint()
 
 

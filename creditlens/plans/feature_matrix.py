@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from creditlens.operators import history, impute, joins, recode
 from creditlens.operators.columns import dict_select
+from creditlens.session import checkpoint_dir
 from creditlens.sources import fixtures
 from creditlens.sources.tables import Tables
 
@@ -78,6 +79,7 @@ def build(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Featur
     everyone = recode.recode_levels(impute.clean_application(
         augment(fixtures.application(t), client_aggregates(t)), stats, bvars))
     if materialize:
+        checkpoint_dir(spark)  # the session's shared folder (a scratch one only when unset)
         everyone = everyone.checkpoint()
     train = everyone.where(~fixtures.is_test())
     test = everyone.where(fixtures.is_test()).drop("TARGET")

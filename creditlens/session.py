@@ -45,10 +45,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared file system folder and is read
     as is.  Only when it is unset (local tests) a scratch folder is created.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc.getCheckpointDir():
+        path = sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="creditlens-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                               "(a machine-local folder does not survive executor loss)")
+        path = tempfile.mkdtemp(prefix="creditlens-ckpt-")  # local mode only (tests, bench)
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
