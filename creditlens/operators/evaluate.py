@@ -132,10 +132,8 @@ def threshold_sensitivity(sweep: DataFrame, delta_steps: int = 5, steps: int = G
 
 def majority_baseline(df: DataFrame, label: str) -> DataFrame:
     """M1 + A27: accuracy of always predicting 0, and the AUC of a constant score (0.5)."""
-    spark = df.sparkSession
     acc = df.agg(F.avg((F.col(label) == 0).cast("double")).alias("Value")) \
         .select(F.lit("Baseline Accuracy").alias("Metric"), "Value")
     const = df.select(label, F.lit(1.0).alias("_p"))
     auc = roc_auc(const, "_p", label).select(F.lit("Baseline AUC").alias("Metric"), F.col("auc").alias("Value"))
-    del spark
     return acc.unionByName(auc)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditlens.functions import scalar
-from creditlens.operators.quantiles import column_modes, exact_quantiles, long_quantiles  # noqa: F401
+from creditlens.operators.quantiles import column_modes, long_quantiles
 
 COUNT_VARS = ["COUNT_POS_LOANS", "COUNT_BUREAU_RECORDS", "COUNT_CREDIT_CARDS",
               "COUNT_PREV_APPLICATIONS", "COUNT_INSTALLMENT_LOANS"]
@@ -81,10 +81,6 @@ class TrainStats:
         return row
 
 
-def _age_years(df: DataFrame) -> DataFrame:
-    return df.select(scalar.days_to_years("DAYS_BIRTH").alias("AGE_YEARS"))
-
-
 def fit_train_stats(train: DataFrame) -> TrainStats:
     """Medians, modes and age-bin edges from the training rows only."""
     med_cols = [c for c in MEDIAN_VARS + EXTRA_MEDIAN_VARS if c in train.columns]
