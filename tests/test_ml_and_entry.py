@@ -64,6 +64,26 @@ def test_smote_points_on_segments(spark):
     assert out.where(F.col("SK_ID_CURR") < 0).count() == 40
 
 
+def test_smote_with_heavy_duplicates(spark):
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("SK_ID_CURR", T.LongType()), T.StructField("TARGET", T.IntegerType()),
+                           T.StructField("features", VectorUDT())])
+    rows = [(i, 1, Vectors.dense([5.0, 10.0])) for i in range(1, 31)] + \
+           [(100 + i, 1, Vectors.dense([float(i), 2.0 * i])) for i in range(1, 11)] + \
+           [(1000 + i, 0, Vectors.dense([0.0, 0.0])) for i in range(300)]
+    out = smote(spark.createDataFrame(rows, schema), "SK_ID_CURR", "features", "TARGET", k=5, seed=7,
+                target_bucket=4)
+    syn = [r.x for r in out.where("synthetic").select(vector_to_array("features").alias("x")).collect()]
+    assert len(syn) == 80
+    for x, y in syn:  # every minority point lies on y = 2x, so every synthetic point does too
+        assert abs(y - 2 * x) < 1e-6 and 1 - 1e-9 <= x <= 10 + 1e-9
+    # a duplicated vector's nearest neighbours are its copies: its synthetic rows are copies
+    dup_syn = out.where("synthetic AND SK_ID_CURR >= -62 AND SK_ID_CURR <= -3") \
+        .select(vector_to_array("features").alias("x")).collect()
+    assert all(tuple(r.x) == (5.0, 10.0) for r in dup_syn)
+
+
 def test_smote_never_reaches_evaluation_folds(spark):
     df = _separable(spark, n=300)
     designs = training.fold_designs(df, ["x1", "noise"], ["g"], 3, 42, True)
