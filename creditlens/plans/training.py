@@ -207,6 +207,46 @@ class FinalFit:
     validation: DataFrame  # id, label, groups, p_default
     reg: float
     alpha: float
+    split: DataFrame | None = None  # id, split membership
+
+
+def oof_cached(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
+    """M6 on the checkpointed training matrix, computed once per session."""
+    key = ("oof", sf, spark.sparkContext.applicationId)
+    if key not in _CACHE:
+        train = feature_build(spark, sf).train
+        num, cat = modeling.feature_columns(train)
+        _CACHE[key] = oof_predictions(train, num, cat)
+    return _CACHE[key]
+
+
+def save_artifacts(spark: SparkSession, sf: str, root: str, ff: FinalFit) -> dict[str, str]:
+    """Every artefact the reference keeps, under one root.
+
+    The fitted pipeline uses Spark ML persistence; every table is Parquet
+    keyed by id (no positional vectors).
+    """
+    train = feature_build(spark, sf).train
+    oof, _ = oof_cached(spark, sf)
+    lasso = oof.where(F.col("model") == "LASSO").select(ID, LABEL, "fold", "p_default")
+    share = train.agg(F.avg(F.col(LABEL).cast("double"))).first()[0]
+    tables = {
+        "validation": ff.validation,
+        "split": ff.split.select(ID, "split"),
+        "feature_names": spark.createDataFrame([(c,) for c in train.columns if c != ID], "name string"),
+        "cv_preds_lasso_full": lasso,
+        "metrics": spark.createDataFrame(
+            [("cv_auc_lasso_full", auc_of(lasso)), ("cv_auc_final", ff.cv_auc), ("val_auc", ff.val_auc)],
+            "Metric string, Value double"),
+        "baseline": train.select(ID, F.lit(0).alias("prediction"), F.lit(share).alias("probability")),
+        "coefficients": ff.model.coefficients(spark),
+    }
+    paths = {"model": f"{root}/model"}
+    modeling.save(ff.model, paths["model"])
+    for name, df in tables.items():
+        paths[name] = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths
 
 
 def final_fit(spark: SparkSession, sf: str, tune_length: int = 3, seed: int = 42) -> FinalFit:
@@ -226,7 +266,7 @@ def final_fit(spark: SparkSession, sf: str, tune_length: int = 3, seed: int = 42
     lr = modeling.logistic(reg, alpha).fit(modeling.design_rows(x_tr))
     model = modeling.FittedModel(PipelineModel(stages=design.stages + [lr]), num, cat, levels, modes)
     val = model.score(va).select(ID, LABEL, "CODE_GENDER", "AGE_BIN", "NAME_EDUCATION_TYPE", "p_default")
-    out = FinalFit(model, cv, auc_of(val), val, reg, alpha)
+    out = FinalFit(model, cv, auc_of(val), val, reg, alpha, split)
     _CACHE[key] = out
     return out
 
