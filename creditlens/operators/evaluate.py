@@ -27,13 +27,21 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     prefix sums, and AUC = sum(pos * (neg_below + neg_tied / 2)) / (P * N).
     Higher score = default (fixed direction, SURVEY Q17).
     """
+    return _grouped_scores(df, score, label).agg(_AUC().alias("auc"))
+
+
+def _grouped_scores(df: DataFrame, score: str, label: str) -> DataFrame:
+    """One row per distinct score with positives, negatives and negatives below it."""
     y = F.col(label).cast("long")
     g = df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(score).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     g = quantile_buckets(g, score, "_bkt", buckets=1024)
-    c = prefix_sums(g, "_bkt", [score], ["neg"])
-    return c.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)),
-                              F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+    return prefix_sums(g, "_bkt", [score], ["neg"])
+
+
+def _AUC() -> Column:  # noqa: N802 - reads like the quantity
+    return F.try_divide(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2.0)),
+                        F.sum("pos").cast("double") * F.sum("neg"))
 
 
 def _approve(score: Column, threshold: float, direction: str) -> Column:
@@ -58,12 +66,13 @@ def confusion_metrics(df: DataFrame, score: str, label: str, threshold: float =
 
 
 def sens_spec(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
-    """Sensitivity (defaults caught) and specificity at a threshold."""
-    p, y = F.col(score), F.col(label)
-    pred = p >= threshold
-    return df.agg(
-        F.try_divide(F.count_if(pred & (y == 1)), F.count_if(y == 1).cast("double")).alias("Sens"),
-        F.try_divide(F.count_if(~pred & (y == 0)), F.count_if(y == 0).cast("double")).alias("Spec"))
+    """``twoClassSummary``: ROC AUC, sensitivity (defaults caught at
+    p >= t) and specificity, from one pass over the per-score counts."""
+    at = F.col(score) >= threshold
+    return _grouped_scores(df, score, label).agg(
+        _AUC().alias("ROC"),
+        F.try_divide(F.sum(F.when(at, F.col("pos")).otherwise(0)), F.sum("pos").cast("double")).alias("Sens"),
+        F.try_divide(F.sum(F.when(~at, F.col("neg")).otherwise(0)), F.sum("neg").cast("double")).alias("Spec"))
 
 
 def first_approving_step(score: Column, steps: int = GRID_STEPS) -> Column:
@@ -108,9 +117,11 @@ def threshold_sweep(df: DataFrame, score: str, label: str, steps: int = GRID_STE
 def top_thresholds(sweep: DataFrame, k: int = 10) -> DataFrame:
     """M18 + L3 + L4 + X13: top k by profit (lower threshold first on ties),
     re-sorted by threshold descending, with the approval rate as text."""
-    top = sweep.orderBy(F.col("profit").desc(), F.col("threshold")).limit(k)
+    # Flag the rows equal to the global maximum (window over <= 99 sweep rows)
+    flagged = sweep.withColumn("is_max_profit", F.col("profit") == F.max("profit").over(Window.partitionBy()))
+    top = flagged.orderBy(F.col("profit").desc(), F.col("threshold")).limit(k)
     return top.select("threshold", F.format_string("%.2f%%", F.col("approval_rate")).alias("approval_rate"),
-                      "good_approved", "bad_approved", "profit").orderBy(F.col("threshold").desc())
+                      "good_approved", "bad_approved", "profit", "is_max_profit").orderBy(F.col("threshold").desc())
 
 
 def optimal_threshold(sweep: DataFrame) -> DataFrame:

@@ -75,9 +75,10 @@ def q_majority_baseline(spark, sf):
 
 
 @query("sens_spec", with_fixtures(["scored"], rounded(
-    "SELECT count(*) FILTER (WHERE p_default >= 0.5 AND TARGET = 1) / count(*) FILTER (WHERE TARGET = 1) AS Sens, "
+    f"SELECT ({_AUC_SQL}) AS ROC, "
+    "count(*) FILTER (WHERE p_default >= 0.5 AND TARGET = 1) / count(*) FILTER (WHERE TARGET = 1) AS Sens, "
     "count(*) FILTER (WHERE p_default < 0.5 AND TARGET = 0) / count(*) FILTER (WHERE TARGET = 0) AS Spec "
-    "FROM scored", ["Sens", "Spec"])))
+    "FROM scored", ["ROC", "Sens", "Spec"])))
 def q_sens_spec(spark, sf):
     """Sensitivity and specificity at 0.5."""
     return evaluate.sens_spec(_scored(spark, sf), "p_default", "TARGET", 0.5)
@@ -115,7 +116,8 @@ def q_threshold_sweep(spark, sf):
 
 
 @query("top_thresholds", with_fixtures(["scored"], rounded(
-    "SELECT threshold, printf('%.2f%%', approval_rate) AS approval_rate, good_approved, bad_approved, profit "
+    "SELECT threshold, printf('%.2f%%', approval_rate) AS approval_rate, good_approved, bad_approved, profit, "
+    "profit = (SELECT max(profit) FROM sweep2) AS is_max_profit "
     "FROM (SELECT * FROM sweep2 ORDER BY profit DESC, threshold LIMIT 10)", ["threshold", "profit"]), [SWEEP]))
 def q_top_thresholds(spark, sf):
     """M18 + L3 + L4 + X13: top ten thresholds by profit."""
