@@ -56,28 +56,63 @@ def _rank_in_counts(pairs: list[tuple[float, int]], rank: int) -> float:
     raise IndexError(rank)
 
 
-def _select_rank(rows: DataFrame, rank: int, lo: float, hi: float, n_in_range: int,
-                 local_limit: int, buckets: int) -> float:
-    """Exact value at 0-based ``rank`` among ``rows.value`` (non-null) within [lo, hi]."""
-    v = F.col("value")
-    below = 0
-    while True:
-        if lo == hi:
-            return lo
-        in_range = rows.where((v >= lo) & (v <= hi))
-        if n_in_range <= local_limit:
-            pairs = sorted((r[0], r[1]) for r in in_range.groupBy("value").count().collect())
-            return _rank_in_counts(pairs, rank - below)
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        got = sorted(in_range.groupBy(b.alias("b"))
-                     .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-                     .collect())
-        for r in got:
-            if rank - below < r["n"]:
-                lo, hi, n_in_range = r["lo"], r["hi"], r["n"]
-                break
-            below += r["n"]
+def _select_ranks(rows: DataFrame, keys: list[str], targets: list[tuple], local_limit: int,
+                  buckets: int) -> dict[int, float]:
+    """Exact order statistics for many (key, rank) targets, one job per refinement level.
+
+    ``targets`` holds ``(tid, key_tuple, rank, lo, hi, n)``: the value at
+    0-based ``rank`` among the key's non-NULL values, all of which lie in
+    [lo, hi] (``n`` of them).  Each level joins the rows to a small table of
+    the open targets (one row per target, broadcast) and aggregates either
+    per distinct value (targets whose range holds few rows, within the
+    collect budget) or per equal-width bucket (the rest), so the number of
+    jobs depends on the number of levels, not on the number of targets.
+    """
+    spark = rows.sparkSession
+    state = {t[0]: {"key": t[1], "rank": t[2], "lo": t[3], "hi": t[4], "n": t[5], "below": 0}
+             for t in targets}
+    out: dict[int, float] = {}
+    key_types = {f.name: f.dataType.simpleString() for f in rows.schema.fields if f.name in keys}
+    while state:
+        for tid in [t for t, s in state.items() if s["lo"] == s["hi"]]:
+            out[tid] = state.pop(tid)["lo"]
+        if not state:
+            break
+        budget, plan = local_limit, []
+        for tid, s in sorted(state.items(), key=lambda kv: kv[1]["n"]):
+            mode = "pairs" if s["n"] <= budget else "bucket"
+            if mode == "pairs":
+                budget -= s["n"]
+            plan.append((tid, *s["key"], s["lo"], s["hi"], (s["hi"] - s["lo"]) / buckets, mode))
+        schema = ", ".join(["_tid long"] + [f"`_k_{k}` {key_types[k]}" for k in keys]
+                           + ["_lo double", "_hi double", "_w double", "_mode string"])
+        tdf = spark.createDataFrame(plan, schema)  # one row per open target: bounded
+        cond = None
+        for k in keys:
+            c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+            cond = c if cond is None else cond & c
+        v = F.col("value")
+        j = rows.join(F.broadcast(tdf), cond).where((v >= F.col("_lo")) & (v <= F.col("_hi")))
+        bucket = F.least(F.floor((v - F.col("_lo")) / F.col("_w")), F.lit(buckets - 1)).cast("double")
+        g = F.when(F.col("_mode") == "pairs", v).otherwise(bucket)
+        got: dict[int, list] = {}
+        for r in (j.groupBy("_tid", g.alias("_g"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+                  .collect()):
+            got.setdefault(r["_tid"], []).append((r["lo"], r["n"], r["hi"]))
+        for tid, *_rest in plan:
+            s = state[tid]
+            cells = sorted(got.get(tid, []))
+            if _rest[-1] == "pairs":
+                out[tid] = _rank_in_counts([(lo, n) for lo, n, _ in cells], s["rank"] - s["below"])
+                del state[tid]
+                continue
+            for lo, n, hi in cells:
+                if s["rank"] - s["below"] < n:
+                    s.update(lo=lo, hi=hi, n=n)
+                    break
+                s["below"] += n
+    return out
 
 
 def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
@@ -123,18 +158,22 @@ def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
             lo_i, hi_i, frac = type7_positions(r["n"], p)
             vals.append(_interp(_rank_in_counts(srt, lo_i), _rank_in_counts(srt, hi_i), frac))
         out[kt] = vals
+    # every (key, rank) of the large keys is refined together, level by level
+    targets, wanted = [], {}
+    for r in big:
+        kt = tuple(r[k] for k in keys)
+        for p in probs:
+            for rank in type7_positions(r["n"], p)[:2]:
+                if (kt, rank) not in wanted:
+                    wanted[(kt, rank)] = len(targets)
+                    targets.append((len(targets), kt, rank, r["lo"], r["hi"], r["n"]))
+    values = _select_ranks(rows, keys, targets, local_limit, buckets) if targets else {}
     for r in big:
         kt = tuple(r[k] for k in keys)
-        key_rows = rows
-        for k, val in zip(keys, kt):
-            key_rows = key_rows.where(F.col(k).isNull() if val is None else (F.col(k) == F.lit(val)))
         vals = []
         for p in probs:
             lo_i, hi_i, frac = type7_positions(r["n"], p)
-            args = (r["lo"], r["hi"], r["n"], local_limit, buckets)
-            x_lo = _select_rank(key_rows, lo_i, *args)
-            x_hi = x_lo if hi_i == lo_i else _select_rank(key_rows, hi_i, *args)
-            vals.append(_interp(x_lo, x_hi, frac))
+            vals.append(_interp(values[wanted[(kt, lo_i)]], values[wanted[(kt, hi_i)]], frac))
         out[kt] = vals
     return out
 

@@ -154,6 +154,22 @@ def test_threshold_grid_floor_correction(spark):
         assert p < k / 100 and (k == 1 or p >= (k - 1) / 100)
 
 
+def test_grouped_quantiles_refinement_with_hot_value(spark):
+    import numpy as np
+    from creditlens.operators.quantiles import long_quantiles
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in ("a", "b", None):
+        vals = list(rng.exponential(3.0, size=300)) + [7.25] * 150  # one value holds a third
+        rows += [(g, float(v)) for v in vals]
+    df = spark.createDataFrame(rows, "grp string, value double")
+    probs = [0.1, 0.5, 0.9, 1.0]
+    got = long_quantiles(df, ["grp"], probs, local_limit=40, buckets=4)
+    for g in ("a", "b", None):
+        want = np.quantile([v for k, v in rows if k == g], probs)
+        assert np.allclose(got[(g,)], want)
+
+
 def test_exact_quantiles_type7(spark):
     import numpy as np
     vals = [float(v) for v in np.random.default_rng(1).normal(size=501)] + [None]
