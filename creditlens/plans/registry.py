@@ -27,6 +27,8 @@ def query(name: str, oracle: str | None = None, rounded: bool = True):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__module__ = fn.__module__
+        run.__wrapped__ = fn
         QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle
