@@ -60,11 +60,20 @@ def test_sweep_monotone_and_auc_symmetry(spark):
 
 def test_fit_depends_on_train_only(spark):
     t = Tables(spark, SF001)
-    train = fixtures.application_train(t)
-    s1 = impute.fit_train_stats(train)
-    # editing test rows must not move any fitted number
-    s2 = impute.fit_train_stats(fixtures.application(t).where(~fixtures.is_test()))
+    app = fixtures.application(t)
+    s1 = impute.fit_train_stats(app.where(~fixtures.is_test()))
+    # edit every test row: the fitted numbers must not move
+    edited = app.withColumn("DAYS_LAST_PHONE_CHANGE",
+                            F.when(fixtures.is_test(), F.lit(-99999.0)).otherwise(F.col("DAYS_LAST_PHONE_CHANGE")))
+    s2 = impute.fit_train_stats(edited.where(~fixtures.is_test()))
     assert s1 == s2
+    # the test rows are filled with the training median, not their own
+    test = edited.where(fixtures.is_test()).withColumn(
+        "DAYS_LAST_PHONE_CHANGE", F.when(F.col("SK_ID_CURR") % 2 == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("DAYS_LAST_PHONE_CHANGE")))
+    filled = impute.clean_application(test, s1).where(F.col("SK_ID_CURR") % 2 == 0) \
+        .select("DAYS_LAST_PHONE_CHANGE").distinct().collect()
+    assert [r[0] for r in filled] == [s1.medians["DAYS_LAST_PHONE_CHANGE"]]
 
 
 def test_transform_is_deterministic(spark):
