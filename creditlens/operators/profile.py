@@ -2,8 +2,9 @@
 
 Per-column statistics are computed in one aggregate pass over many
 expressions and then ``unpivot``-ed to one row per column, instead of one
-job per column.  Very wide inputs are split into chunks of expressions so
-the generated code stays under the JVM method-size limit.
+job per column (the reference loops over columns).  A very wide pass that
+outgrows the JVM method-size limit falls back from whole-stage codegen to
+interpreted evaluation; it still reads the data once.
 """
 
 from __future__ import annotations
@@ -15,8 +16,6 @@ from pyspark.sql import functions as F
 
 from creditlens.operators.quantiles import long_quantiles
 
-EXPR_CHUNK = 60
-
 
 def round4(c) -> Column:
     """``round(x, 4)``; snapped to 9 decimals first so both engines agree."""
@@ -24,16 +23,6 @@ def round4(c) -> Column:
     return F.round(F.round(col, 9), 4)
 
 
-def _one_pass(df: DataFrame, named: list[tuple[str, Column]]) -> dict:
-    """Evaluate many aggregate expressions in as few passes as the chunk size allows."""
-    out: dict = {}
-    for i in range(0, len(named), EXPR_CHUNK):
-        part = named[i:i + EXPR_CHUNK]
-        row = df.agg(*[e.alias(f"_{j}") for j, (_, e) in enumerate(part)]).first()
-        out.update({name: row[f"_{j}"] for j, (name, _) in enumerate(part)})
-    return out
-
-
 def guarded_corr(x, y) -> Column:
     """Pearson correlation over complete pairs; NULL for a constant column.
 
@@ -115,20 +104,16 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     spark = df.sparkSession
     cols = list(cols)
-    named = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        named += [(f"{c}|min", F.min(x)), (f"{c}|mean", F.avg(x)), (f"{c}|max", F.max(x)),
-                  (f"{c}|na", F.count_if(x.isNull()))]
-    simple = _one_pass(df, named)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "variable", "value")
-    q = long_quantiles(long, ["variable"], [0.25, 0.5, 0.75])
+    st: dict = {}
+    q = long_quantiles(long, ["variable"], [0.25, 0.5, 0.75], stats_out=st)
     rows = []
     for c in cols:
         q1, med, q3 = q.get((c,), [None, None, None])
-        rows.append((c, simple[f"{c}|min"], q1, med, simple[f"{c}|mean"], q3, simple[f"{c}|max"],
-                     simple[f"{c}|na"]))
+        s = st.get((c,))
+        rows.append((c, s["lo"] if s else None, q1, med, s["mean"] if s else None, q3,
+                     s["hi"] if s else None, s["nulls"] if s else df.count()))
     return spark.createDataFrame(rows, "variable string, Min double, Q1 double, Median double, "
                                        "Mean double, Q3 double, Max double, NAs long")
 

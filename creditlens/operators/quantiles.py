@@ -116,19 +116,25 @@ def _select_ranks(rows: DataFrame, keys: list[str], targets: list[tuple], local_
 
 
 def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   local_limit: int = LOCAL_LIMIT, buckets: int = BUCKETS) -> dict[tuple, list]:
+                   local_limit: int = LOCAL_LIMIT, buckets: int = BUCKETS,
+                   stats_out: dict | None = None) -> dict[tuple, list]:
     """Type-7 quantiles of ``value`` per key tuple of a long frame.
 
     ``long`` has the ``keys`` columns and a double ``value`` column; NULL
     values are ignored.  Returns ``{key_tuple: [q(p) ...]}`` for every key
-    with at least one non-NULL value.
+    with at least one non-NULL value.  If ``stats_out`` is a dict it receives
+    the first pass's per-key row (n, lo, hi, mean, nulls), so callers that
+    also need those do not scan again.
     """
     keys = list(keys)
-    rows = long.select(*keys, F.col("value").cast("double").alias("value")).where(
-        F.col("value").isNotNull())
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.approx_count_distinct("value", 0.02).alias("d")).collect()
+    v = F.col("value").cast("double")
+    stats_all = long.groupBy(*keys).agg(
+        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"),
+        F.count_if(v.isNull()).alias("nulls"), F.approx_count_distinct(v, 0.02).alias("d")).collect()
+    if stats_out is not None:
+        stats_out.update({tuple(r[k] for k in keys): r for r in stats_all})
+    stats = [r for r in stats_all if r["n"] > 0]
+    rows = long.select(*keys, v.alias("value")).where(F.col("value").isNotNull())
     budget, small, big = local_limit, [], []
     for r in sorted(stats, key=lambda r: r["d"]):
         if r["d"] * 1.1 <= budget:
