@@ -145,16 +145,23 @@ def box_stats(df: DataFrame, value_cols: Sequence[str], group: str = "TARGET") -
 
 
 def histogram(df: DataFrame, col: str, bins: int = 150) -> DataFrame:
-    """Equal-width bins over [min, max]; the maximum falls in the last bin."""
+    """Equal-width bins over [min, max]; the maximum falls in the last bin.
+
+    Every bin is reported, empty ones with count 0 (the bin grid is a
+    ``range`` of ``bins`` rows joined to the per-bin counts).
+    """
+    spark = df.sparkSession
     x = F.col(col).cast("double")
     r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, count long")
+        return spark.createDataFrame([], "bin int, lower double, upper double, count long")
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((x - F.lit(lo)) * bins / F.lit(hi - lo if hi > lo else 1.0)).cast("int") + 1,
                 F.lit(bins))
-    return (df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    return (grid.join(counts, "bin", "left").fillna(0, ["count"])
             .withColumn("lower", F.lit(lo) + (F.col("bin") - 1) * F.lit(width))
             .withColumn("upper", F.lit(lo) + F.col("bin") * F.lit(width))
             .select("bin", "lower", "upper", "count"))

@@ -219,13 +219,12 @@ def q_box_stats(spark, sf):
 
 
 @query("histogram", with_fixtures(["train"], rounded(
-    "WITH r AS (SELECT min(DAYS_EMPLOYED) AS lo, max(DAYS_EMPLOYED) AS hi FROM train) "
-    "SELECT CAST(least(floor((DAYS_EMPLOYED - lo) * 150 / (hi - lo)) + 1, 150) AS INTEGER) AS bin, "
-    "min(lo) + (CAST(least(floor((DAYS_EMPLOYED - lo) * 150 / (hi - lo)) + 1, 150) AS INTEGER) - 1) "
-    "* min((hi - lo) / 150) AS lower, "
-    "min(lo) + CAST(least(floor((DAYS_EMPLOYED - lo) * 150 / (hi - lo)) + 1, 150) AS INTEGER) "
-    "* min((hi - lo) / 150) AS upper, count(*) AS count "
-    "FROM train, r WHERE DAYS_EMPLOYED IS NOT NULL GROUP BY 1", ["lower", "upper"])))
+    "WITH r AS (SELECT min(DAYS_EMPLOYED) AS lo, max(DAYS_EMPLOYED) AS hi FROM train), "
+    "c AS (SELECT CAST(least(floor((DAYS_EMPLOYED - lo) * 150 / (hi - lo)) + 1, 150) AS INTEGER) AS bin, "
+    "count(*) AS count FROM train, r WHERE DAYS_EMPLOYED IS NOT NULL GROUP BY 1) "
+    "SELECT CAST(g.range AS INTEGER) AS bin, lo + (g.range - 1) * ((hi - lo) / 150) AS lower, "
+    "lo + g.range * ((hi - lo) / 150) AS upper, COALESCE(c.count, 0) AS count "
+    "FROM range(1, 151) AS g, r LEFT JOIN c ON c.bin = g.range", ["lower", "upper"])))
 def q_histogram(spark, sf):
     """150 equal-width bins of DAYS_EMPLOYED (the sentinel spike shows up)."""
     return profile.histogram(fixtures.application_train(_t(spark, sf)), "DAYS_EMPLOYED", 150)
