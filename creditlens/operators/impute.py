@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -84,22 +85,42 @@ class TrainStats:
 def fit_train_stats(train: DataFrame) -> TrainStats:
     """Medians, modes and age-bin edges from the training rows only."""
     med_cols = [c for c in MEDIAN_VARS + EXTRA_MEDIAN_VARS if c in train.columns]
-    # medians and age quartiles share one long frame: two small jobs in total
+    mode_cols = [c for c in MODE_VARS if c in train.columns]
+    # medians and age quartiles share one long frame (two small jobs); the
+    # categorical modes are an independent job and run concurrently
     num = train.select(*[F.col(c).cast("double").alias(c) for c in med_cols],
                        scalar.days_to_years("DAYS_BIRTH").alias("AGE_YEARS"))
     long = num.unpivot([], med_cols + ["AGE_YEARS"], "variable", "value")
-    q = long_quantiles(long, ["variable"], [0.5] + AGE_PROBS)
+    pairs: dict = {}
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        modes_job = pool.submit(column_modes, train, mode_cols)
+        q = long_quantiles(long, ["variable"], [0.5] + AGE_PROBS, pairs_out=pairs)
+        modes = modes_job.result()
     medians = {c: q.get((c,), [None])[0] for c in med_cols}
     edges = q[("AGE_YEARS",)][1:]
     labels = scalar.cut_labels(edges)
-    # Categorical modes and the modal age bin in one pass; the bin index is
-    # zero-padded so the smallest-level tie rule picks the lowest bin.
-    mode_cols = [c for c in MODE_VARS if c in train.columns]
-    bin_ix = scalar.right_closed_bin_index(scalar.days_to_years("DAYS_BIRTH"), edges)
-    modes = column_modes(train.withColumn("_AGE_BIN_IX", F.lpad(bin_ix.cast("string"), 5, "0")),
-                         mode_cols + ["_AGE_BIN_IX"])
-    mode_bin = modes.pop("_AGE_BIN_IX")
-    return TrainStats(medians, modes, edges, labels, None if mode_bin is None else int(mode_bin))
+    return TrainStats(medians, modes, edges, labels, _modal_bin(train, edges, pairs.get(("AGE_YEARS",))))
+
+
+def _modal_bin(train: DataFrame, edges: list[float], age_counts: list | None) -> int | None:
+    """Most frequent right-closed age bin of the training rows, lowest bin on ties.
+
+    When the quantile pass already brought back the (age, count) table it is
+    binned on the driver (same comparisons as the Spark expression);
+    otherwise one aggregate job counts rows per bin.
+    """
+    if age_counts is not None:
+        per_bin: dict[int, int] = {}
+        for value, n in age_counts:
+            b = 1 if edges[0] <= value <= edges[1] else next(
+                (i for i in range(2, len(edges)) if edges[i - 1] < value <= edges[i]), None)
+            if b is not None:
+                per_bin[b] = per_bin.get(b, 0) + n
+        return min(per_bin, key=lambda b: (-per_bin[b], b)) if per_bin else None
+    bins = (train.select(scalar.right_closed_bin_index(scalar.days_to_years("DAYS_BIRTH"), edges).alias("b"))
+            .where(F.col("b").isNotNull()).groupBy("b").count()
+            .orderBy(F.col("count").desc(), F.col("b")).first())
+    return None if bins is None else bins["b"]
 
 
 def stats_frame(spark, stats: TrainStats) -> DataFrame:

@@ -117,14 +117,15 @@ def _select_ranks(rows: DataFrame, keys: list[str], targets: list[tuple], local_
 
 def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                    local_limit: int = LOCAL_LIMIT, buckets: int = BUCKETS,
-                   stats_out: dict | None = None) -> dict[tuple, list]:
+                   stats_out: dict | None = None, pairs_out: dict | None = None) -> dict[tuple, list]:
     """Type-7 quantiles of ``value`` per key tuple of a long frame.
 
     ``long`` has the ``keys`` columns and a double ``value`` column; NULL
     values are ignored.  Returns ``{key_tuple: [q(p) ...]}`` for every key
     with at least one non-NULL value.  If ``stats_out`` is a dict it receives
     the first pass's per-key row (n, lo, hi, mean, nulls), so callers that
-    also need those do not scan again.
+    also need those do not scan again; ``pairs_out`` receives the sorted
+    (value, count) table of every key that took the bounded local path.
     """
     keys = list(keys)
     v = F.col("value").cast("double")
@@ -159,6 +160,8 @@ def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
     for r in small:
         kt = tuple(r[k] for k in keys)
         srt = sorted(pairs.get(kt, []))
+        if pairs_out is not None:
+            pairs_out[kt] = srt
         vals = []
         for p in probs:
             lo_i, hi_i, frac = type7_positions(r["n"], p)
