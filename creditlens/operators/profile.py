@@ -41,7 +41,8 @@ def target_corr(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """A18 + U2 + L1: correlation of each column with the label, sorted by |r|."""
     wide = df.agg(*[round4(guarded_corr(c, label)).alias(c) for c in cols])
     long = wide.unpivot([], list(cols), "Predictor", "Correlation_with_Target")
-    return long.orderBy(F.abs("Correlation_with_Target").desc_nulls_last(), "Predictor")
+    # one row per column: a single sorted partition (no range-sampling job)
+    return long.coalesce(1).sortWithinPartitions(F.abs("Correlation_with_Target").desc_nulls_last(), "Predictor")
 
 
 def class_balance(df: DataFrame, label: str = "TARGET") -> DataFrame:
@@ -76,7 +77,7 @@ def rate_spread(df: DataFrame, cat_cols: Sequence[str], label: str = "TARGET") -
     rates = long.groupBy("variable", "level").agg(F.avg(F.col(label).cast("double")).alias("r"))
     return (rates.groupBy(F.col("variable").alias("Predictor"))
             .agg((F.max("r") - F.min("r")).alias("Max_Proportion_Diff"))
-            .orderBy(F.col("Max_Proportion_Diff").desc(), "Predictor"))
+            .coalesce(1).sortWithinPartitions(F.col("Max_Proportion_Diff").desc(), "Predictor"))
 
 
 def level_freq(df: DataFrame, cat_cols: Sequence[str]) -> DataFrame:
@@ -93,7 +94,7 @@ def missing_summary(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     long = wide.unpivot(["_rows"], cols, "Variable", "Count")
     return (long.where(F.col("Count") > 0)
             .select("Variable", "Count", round4(F.col("Count") / F.col("_rows")).alias("Proportion"))
-            .orderBy(F.col("Count").desc(), "Variable"))
+            .coalesce(1).sortWithinPartitions(F.col("Count").desc(), "Variable"))
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
