@@ -121,8 +121,10 @@ def fold_designs(df: DataFrame, numeric, categorical, k: int, seed: int, use_smo
     applied to that part only -- evaluation rows are never oversampled.
     Computed once per fold and shared by every grid point.
     """
-    return [(smoted(x_tr, seed + f) if use_smote else x_tr, x_te)
-            for f, (x_tr, x_te) in enumerate(plain_fold_designs(df, numeric, categorical, k, seed), 1)]
+    plain = plain_fold_designs(df, numeric, categorical, k, seed)
+    if not use_smote:
+        return plain
+    return _parallel(lambda fd: (smoted(fd[1][0], seed + fd[0]), fd[1][1]), list(enumerate(plain, 1)))
 
 
 def smoted(x_tr: DataFrame, seed: int) -> DataFrame:
@@ -146,18 +148,27 @@ def plain_fold_designs(df: DataFrame, numeric, categorical, k: int, seed: int) -
     return _parallel(one, list(range(1, k + 1)))
 
 
-def cv_auc_grid(designs: list, points: list[tuple[float, float]]) -> dict:
-    """Mean of per-fold AUCs (caret's resampled ROC) for each grid point."""
+def cv_auc_arms(arms: dict[str, list], points: list[tuple[float, float]]) -> dict:
+    """Mean of per-fold AUCs (caret's resampled ROC) per (arm, grid point).
+
+    Every (arm, point, fold) fit is an independent Spark job; all of them go
+    to one pool.
+    """
     def one(task):
-        (reg, alpha), (x_tr, x_te) = task
+        arm, (reg, alpha), (x_tr, x_te) = task
         lr = modeling.logistic(reg, alpha).fit(x_tr)
-        return (reg, alpha), auc_of(modeling.with_probability(lr.transform(x_te)))
+        return (arm, (reg, alpha)), auc_of(modeling.with_probability(lr.transform(x_te)))
 
-    got = _parallel(one, [(p, d) for p in points for d in designs])
+    got = _parallel(one, [(arm, p, d) for arm, designs in arms.items() for p in points for d in designs])
     out: dict = {}
-    for p, a in got:
-        out.setdefault(p, []).append(a)
-    return {p: sum(v) / len(v) for p, v in out.items()}
+    for key, a in got:
+        out.setdefault(key, []).append(a)
+    return {key: sum(v) / len(v) for key, v in out.items()}
+
+
+def cv_auc_grid(designs: list, points: list[tuple[float, float]]) -> dict:
+    """Mean of per-fold AUCs for each grid point of one set of fold designs."""
+    return {p: a for (_, p), a in cv_auc_arms({"_": designs}, points).items()}
 
 
 def cv_auc(df: DataFrame, numeric, categorical, reg: float, alpha: float, k: int, seed: int,
@@ -176,10 +187,8 @@ def tune_grid(spark: SparkSession, df: DataFrame, numeric, categorical, tune_len
     arms = {"none": plain,
             "smote": _parallel(lambda fd: (smoted(fd[1][0], seed + fd[0]), fd[1][1]),
                                list(enumerate(plain, 1)))}
-    rows = []
-    for arm, designs in arms.items():
-        res = cv_auc_grid(designs, points)
-        rows += [(arm, reg, alpha, res[(reg, alpha)]) for reg, alpha in points]
+    res = cv_auc_arms(arms, points)  # both arms' fits go to the pool together
+    rows = [(arm, reg, alpha, res[(arm, (reg, alpha))]) for arm in arms for reg, alpha in points]
     return spark.createDataFrame(rows, "sampling string, regParam double, elasticNetParam double, cv_auc double")
 
 
