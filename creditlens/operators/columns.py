@@ -85,7 +85,7 @@ def type_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "Data_Type string, Count long")
 
 
-def dictionary_rows(dictionary: DataFrame, table: str, description: str | None = None,
+def dictionary_filter(dictionary: DataFrame, table: str, description: str | None = None,
                     special: str | None = None) -> DataFrame:
     """Dictionary rows of one table with a given description or tag."""
     cond = F.col("Table") == table
@@ -103,5 +103,5 @@ def dict_select(dictionary: DataFrame, table: str, description: str,
     The dictionary has one row per column of a table, so the collected list
     is bounded by the table's width.
     """
-    rows = [r["Row"] for r in dictionary_rows(dictionary, table, description).collect()]
+    rows = [r["Row"] for r in dictionary_filter(dictionary, table, description).collect()]
     return setdiff(rows, exclude)
