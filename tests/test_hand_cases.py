@@ -127,6 +127,30 @@ def test_recode(spark):
     assert r[1].ORGANIZATION_TYPE == "Other"
 
 
+def test_recode_null_semantics_per_column(spark):
+    """NULL stays NULL where R uses ifelse / case_when(TRUE ~ x); becomes Other where the default is Other."""
+    cols = list(recode.RECODE_RULES)
+    df = spark.createDataFrame([tuple([None] * len(cols))], ", ".join(f"{c} string" for c in cols))
+    got = recode.recode_levels(df).first().asDict()
+    assert got == {"CODE_GENDER": None, "NAME_TYPE_SUITE": None, "NAME_INCOME_TYPE": None,
+                   "NAME_EDUCATION_TYPE": "Other", "NAME_FAMILY_STATUS": None, "NAME_HOUSING_TYPE": None,
+                   "OCCUPATION_TYPE": "Other", "ORGANIZATION_TYPE": "Other", "WALLSMATERIAL_MODE": None}
+    rows = [("Higher education", "Rented apartment", "Industry: type 1", "Drivers", "Monolithic", "Student")]
+    df2 = spark.createDataFrame(rows, "NAME_EDUCATION_TYPE string, NAME_HOUSING_TYPE string, "
+                                      "ORGANIZATION_TYPE string, OCCUPATION_TYPE string, "
+                                      "WALLSMATERIAL_MODE string, NAME_INCOME_TYPE string")
+    r = recode.recode_levels(df2).first()
+    assert (r.NAME_EDUCATION_TYPE, r.NAME_HOUSING_TYPE, r.ORGANIZATION_TYPE, r.OCCUPATION_TYPE,
+            r.WALLSMATERIAL_MODE, r.NAME_INCOME_TYPE) == (
+        "Academic / Bachelors or higher", "Rented / Municipal", "Industry", "Drivers", "Other", "Other")
+
+
+def test_smoothed_ratio_null_at_minus_one(spark):
+    df = spark.createDataFrame([(10.0, -1.0), (10.0, 4.0), (None, 4.0)], "a double, b double")
+    got = [r[0] for r in df.select(scalar.smoothed_ratio("a", "b")).collect()]
+    assert got == [None, 2.0, None]
+
+
 def test_suffix_join(spark):
     a = spark.createDataFrame([(1, 1.0)], "SK_ID_CURR int, SK_DPD_MEAN double")
     b = spark.createDataFrame([(1, 2.0)], "SK_ID_CURR int, SK_DPD_MEAN double")
