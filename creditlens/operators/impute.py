@@ -102,6 +102,18 @@ def fit_train_stats(train: DataFrame) -> TrainStats:
     return TrainStats(medians, modes, edges, labels, _modal_bin(train, edges, pairs.get(("AGE_YEARS",))))
 
 
+def fit_age_bins(train: DataFrame) -> TrainStats:
+    """Only the age part of D10 (edges, labels, modal bin): one quantile pass.
+
+    For reports that bin ages (approval by age group) without the imputation
+    statistics; the values equal those of ``fit_train_stats``.
+    """
+    ages = train.select(scalar.days_to_years("DAYS_BIRTH").alias("value")).withColumn("variable", F.lit("AGE"))
+    pairs: dict = {}
+    edges = long_quantiles(ages, ["variable"], AGE_PROBS, pairs_out=pairs)[("AGE",)]
+    return TrainStats({}, {}, edges, scalar.cut_labels(edges), _modal_bin(train, edges, pairs.get(("AGE",))))
+
+
 def _modal_bin(train: DataFrame, edges: list[float], age_counts: list | None) -> int | None:
     """Most frequent right-closed age bin of the training rows, lowest bin on ties.
 

@@ -160,7 +160,7 @@ _BIN = (f"COALESCE(labels[CASE WHEN {_AGE} >= e[1] AND {_AGE} <= e[2] THEN 1 WHE
 def q_approval_by_group(spark, sf):
     """Approval rate and count by gender, education and age bin at 0.65."""
     t = Tables(spark, sf)
-    stats = impute.fit_train_stats(fixtures.application_train(t))
+    stats = impute.fit_age_bins(fixtures.application_train(t))
     age = scalar.days_to_years("DAYS_BIRTH")
     scored = _scored(spark, sf).withColumn("AGE_BIN", F.coalesce(
         scalar.right_closed_bin_label(age, stats.age_edges, stats.age_labels), F.lit(stats.age_mode_label)))

@@ -465,7 +465,7 @@ def q_smoothed_ratios(spark, sf):
 def q_age_bin(spark, sf):
     """X10 + X11: right-closed bins on training quartiles; unbinned test rows get the modal bin."""
     t = _t(spark, sf)
-    stats = impute.fit_train_stats(fixtures.application_train(t))
+    stats = impute.fit_age_bins(fixtures.application_train(t))
     age = scalar.days_to_years("DAYS_BIRTH")
     label = scalar.right_closed_bin_label(age, stats.age_edges, stats.age_labels)
     return fixtures.application_test(t).select(
