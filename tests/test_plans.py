@@ -40,6 +40,15 @@ def test_no_single_partition_window_over_rows(spark):
         assert row_windows and all("_bkt" in w for w in row_windows)
 
 
+def test_train_only_query_filters_history_by_the_split(spark):
+    """The train matrix is a filter of the all-clients star join; Catalyst pushes
+    the split into the application scan and infers it for the history sides."""
+    from creditlens.plans import feature_matrix as fm
+    text = fm.build(spark, SF001).train._jdf.queryExecution().optimizedPlan().toString()
+    split_filters = re.findall(r"Filter .*% 5\) = 0\)", text)
+    assert len(split_filters) >= 3  # customer scan plus history inputs keyed by client
+
+
 def test_auc_collapses_ties_before_ranking(spark):
     scored = fixtures.scored_rows(Tables(spark, SF001))
     plan = _plan(evaluate.roc_auc(scored, "p_default", "TARGET"))
