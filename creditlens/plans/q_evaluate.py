@@ -80,7 +80,7 @@ def q_majority_baseline(spark, sf):
     "count(*) FILTER (WHERE p_default < 0.5 AND TARGET = 0) / count(*) FILTER (WHERE TARGET = 0) AS Spec "
     "FROM scored", ["ROC", "Sens", "Spec"])))
 def q_sens_spec(spark, sf):
-    """Sensitivity and specificity at 0.5."""
+    """twoClassSummary (ROC AUC, sensitivity, specificity at 0.5)."""
     return evaluate.sens_spec(_scored(spark, sf), "p_default", "TARGET", 0.5)
 
 
