@@ -171,6 +171,16 @@ def test_sweep_example(spark):
     assert r.approval_rate == pytest.approx(200 / 3)
 
 
+def test_optimal_threshold_first_on_ties_and_sensitivity(spark):
+    sweep = spark.createDataFrame(
+        [(k / 100, float(v)) for k, v in zip(range(1, 100), [0] * 9 + [5] * 5 + [3] * 85)],
+        "threshold double, profit_per_applicant double")
+    r = evaluate.optimal_threshold(sweep).first()
+    assert (r.optimal_threshold, r.profit_per_applicant) == (0.10, 5.0)  # 0.10..0.14 tie: lowest wins
+    sens = {x.offset_steps: x.threshold for x in evaluate.threshold_sensitivity(sweep).collect()}
+    assert sens == {-5: 0.05, 0: 0.10, 5: 0.15}
+
+
 def test_threshold_grid_floor_correction(spark):
     df = spark.createDataFrame([(0.29, 0), (0.57, 1), (0.0, 0), (0.99, 1)], "p double, y int")
     got = {r.p: r.k for r in df.select("p", evaluate.first_approving_step(F.col("p")).alias("k")).collect()}
