@@ -181,6 +181,17 @@ def test_optimal_threshold_first_on_ties_and_sensitivity(spark):
     assert sens == {-5: 0.05, 0: 0.10, 5: 0.15}
 
 
+def test_top_thresholds_order_and_max_flag(spark):
+    profits = [float(k % 7) for k in range(1, 100)]
+    sweep = spark.createDataFrame(
+        [(k / 100, 50.0, 1, 1, p) for k, p in zip(range(1, 100), profits)],
+        "threshold double, approval_rate double, good_approved long, bad_approved long, profit double")
+    top = evaluate.top_thresholds(sweep).collect()
+    assert len(top) == 10 and [r.threshold for r in top] == sorted((r.threshold for r in top), reverse=True)
+    assert all(r.profit == 6.0 and r.is_max_profit for r in top)  # 14 rows tie at 6: the ten lowest kept
+    assert max(r.threshold for r in top) == 0.69 and top[0].approval_rate == "50.00%"
+
+
 def test_threshold_grid_floor_correction(spark):
     df = spark.createDataFrame([(0.29, 0), (0.57, 1), (0.0, 0), (0.99, 1)], "p double, y int")
     got = {r.p: r.k for r in df.select("p", evaluate.first_approving_step(F.col("p")).alias("k")).collect()}
