@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import formatting, mixing, quality, secrets, tokencounts
+from creditlens.llm import embeddings, formatting, mixing, pieces, quality, secrets, tokencounts
 from creditlens.llm.common import read, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("text")
     return tokencounts.histogram(tokencounts.count_tokens(docs))
+
+
+@query("op1_embedding_near_dedup", embeddings.ORACLE_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"))
