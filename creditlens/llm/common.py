@@ -75,3 +75,24 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("comp"))
     return nodes.select("id").join(roots, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's sources to the executors' Python workers, once per Spark context."""
+    import os
+    import tempfile
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_creditlens_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="creditlens-src-"), "creditlens_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._creditlens_shipped = True

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import embeddings, formatting, mixing, pieces, quality, secrets, tokencounts
-from creditlens.llm.common import read, table
+from creditlens.llm import classifier, embeddings, formatting, mixing, pieces, quality, secret_scan, tokencounts
+from creditlens.llm.common import read, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -16,7 +16,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle:
             ORACLE[name] = oracle
         return fn
@@ -26,7 +30,7 @@ def query(name: str, oracle: str | None = None):
 @query("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return secrets.scan_documents(docs).drop("clean_text")
+    return secret_scan.scan_documents(docs).drop("clean_text")
 
 
 @query("op5_chat_formatting", formatting.ORACLE_SQL)
@@ -68,3 +72,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classifier.train(docs, read(spark, sf_dir, "labels"))
+    out = classifier.score(docs, model)
+    return out.select("doc_id", (classifier.remainder(F.col("doc_id")) == 0).alias("held_out"), "score",
+                      (F.col("score") >= classifier.CUT).cast("int").alias("predicted"))
