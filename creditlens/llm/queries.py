@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import classifier, embeddings, formatting, mixing, pieces, quality, secret_scan, tokencounts
+from creditlens.llm import classifier, embeddings, formatting, jaccard, mixing, pieces, quality, secret_scan, tokencounts
 from creditlens.llm.common import read, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = classifier.score(docs, model)
     return out.select("doc_id", (classifier.remainder(F.col("doc_id")) == 0).alias("held_out"), "score",
                       (F.col("score") >= classifier.CUT).cast("int").alias("predicted"))
+
+
+@query("op2_jaccard_join", jaccard.ORACLE_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
