@@ -77,6 +77,31 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     return nodes.select("id").join(roots, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
+FILTER_CELLS = 1 << 18  # rows of the broadcast id filter at most
+
+
+def thinned(docs: DataFrame, ids: DataFrame, how: str = "left_semi", key: str = "id") -> DataFrame:
+    """Rows of ``docs`` whose hashed ``key`` is (``left_anti``: is not) among the hashed ids of ``ids``.
+
+    The broadcast side has at most FILTER_CELLS rows whatever the corpus; a
+    join on the ids themselves follows where it matters.  NULL keys are never
+    among them.
+    """
+    def cell():
+        return F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(F.col(key).cast("long")),
+                                                                F.lit(FILTER_CELLS)))
+
+    cells = ids.filter(F.col(key).isNotNull()).select(cell().alias("_cell")).distinct()
+    return docs.withColumn("_cell", cell()).join(F.broadcast(cells), "_cell", how).drop("_cell")
+
+
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``ids``; only rows that may be hit are shuffled."""
+    free = thinned(docs, ids, "left_anti", key)
+    hit = thinned(docs, ids, "left_semi", key)
+    return free.unionByName(hit.join(ids.select(key).distinct(), key, "left_anti").select(*docs.columns))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's sources to the executors' Python workers, once per Spark context."""
     import os

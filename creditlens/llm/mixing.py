@@ -39,11 +39,11 @@ MAX_COPIES = 2            # fixed by the contract
 LEVEL_BITS, LEVELS = 10, 3
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def sizes(docs: DataFrame, id_col: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
     """(id, source, size, draw): draw in [0, 2^30)."""
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 8), 16, 10)
     return docs.select(
-        F.col(id_col), "source",
+        *(keep or []), F.col(id_col), "source",
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.shiftright(draw.cast("long"), 2).alias("draw"))
 
@@ -106,17 +106,32 @@ def nested_thresholds(sized: DataFrame, goals: DataFrame) -> DataFrame:
     return state.select("source", "source_size", "target", "passes", F.col("base").alias("below"))
 
 
+def copies_column():
+    return F.expr("IF(size = 0, 0L, least(passes + IF(draw < below, 1L, 0L), cast(%d as bigint)))" % MAX_COPIES)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs(id, text, source) -> (id, source, size, source_size, target, copies, taken) per row."""
     sized = table(sizes(docs, id_col), "mix")
     t = nested_thresholds(sized, targets(sized))
     t = checked_broadcast(t.withColumnRenamed("source", "_s"))
     j = sized.join(t, sized["source"].eqNullSafe(F.col("_s")), "left")
-    copies = F.expr("IF(size = 0, 0L, least(passes + IF(draw < below, 1L, 0L), cast(%d as bigint)))" % MAX_COPIES)
+    copies = copies_column()
     return j.select(id_col, "source", "size", "source_size", "target", copies.alias("copies"),
                     (copies * F.col("size")).alias("taken"))
 
 
+def apply_mix(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` as mixed: every row 0, 1 or 2 times; all columns pass through."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
+        "_row", F.col(f"_row.{id_col}").alias("id"), F.col("_row.source").alias("source"))
+    sized = table(sizes(docs.select(F.col(id_col).alias("id"), "source", "text"), "id"), "mix")
+    t = checked_broadcast(nested_thresholds(sized, targets(sized)).withColumnRenamed("source", "_s"))
+    again = sizes(packed.withColumn("text", F.col("_row.text")), "id", keep=["_row"])
+    return again.join(t, again["source"].eqNullSafe(F.col("_s"))).withColumn("copies", copies_column()) \
+        .filter("copies > 0").withColumn("_n", F.explode(F.expr("sequence(1L, copies)"))).select("_row.*")
+
+
 ORACLE_CTE = r"""
 z AS (SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+').len() AS size,
   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT >> 2 AS draw FROM mix_docs),

@@ -169,7 +169,7 @@ def broadcast_model(spark: SparkSession, path: str = MODEL) -> Broadcast:
 def encode(docs: DataFrame, text: str = "text", out: str = "piece_ids", model: str = MODEL) -> DataFrame:
     """Add ``out`` array<int>: the piece ids of the whole text."""
     shared = broadcast_model(docs.sparkSession, model)
-    schema = StructType(docs.schema.fields).add(out, ArrayType(IntegerType()))
+    schema = StructType(list(docs.schema.fields)).add(out, ArrayType(IntegerType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = worker_encoder(shared.value)
@@ -185,7 +185,7 @@ def encode(docs: DataFrame, text: str = "text", out: str = "piece_ids", model: s
 def decode(df: DataFrame, ids: str = "piece_ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
     """Add ``out``: the text of the piece ids."""
     shared = broadcast_model(df.sparkSession, model)
-    schema = StructType(df.schema.fields).add(out, "string")
+    schema = StructType(list(df.schema.fields)).add(out, "string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = worker_encoder(shared.value)

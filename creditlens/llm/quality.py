@@ -12,7 +12,7 @@ any fence of its group is rejected.
 
 Defined cases: a NULL text has no words; NULL language or source form groups
 of their own; an empty table gives an empty result; repeated rows are judged
-one by one; extra columns are kept only by ``apply_rules``.
+one by one; ``apply_rules`` keeps extra columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.llm.common import words_column
+from creditlens.llm.common import table, words_column
 
 MIN_WORDS = 50            # fixed by the contract
 MAX_REPEAT_PERCENT = 50   # fixed by the contract
@@ -131,13 +131,13 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("metric") == m, F.col("fence"))).alias(f"f_{m}") for m in METRICS])
 
 
-def judge(docs: DataFrame, materialise) -> DataFrame:
-    """docs(doc_id, text, lang, source) -> its columns without the text, metrics and ``kept``.
+def judge(docs: DataFrame, materialise, text: str = "text") -> DataFrame:
+    """docs(.., text, lang, source) -> the materialised columns and ``kept``.
 
-    ``materialise`` writes the narrow metric table once (it is read for the
-    sketch and again for the verdict).
+    ``materialise`` writes the metric table once (it is read for the sketch
+    and again for the verdict) and may drop the text.
     """
-    m = materialise(with_metrics(docs).drop("text"))
+    m = materialise(with_metrics(docs, text))
     t = thresholds(sketches(m)).withColumnsRenamed({"lang": "_tl", "source": "_ts"})
     above = None
     for name in METRICS:
@@ -148,6 +148,13 @@ def judge(docs: DataFrame, materialise) -> DataFrame:
         "_tl", "_ts", *[f"f_{x}" for x in METRICS])
 
 
+def apply_rules(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rejected rows; all columns, whatever their names, pass through."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
+        "_row", F.col("_row.lang").alias("lang"), F.col("_row.source").alias("source"))
+    return judge(packed, lambda df: table(df, "quality"), "_row.text").filter("kept").select("_row.*")
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.llm import classifier, embeddings, formatting, jaccard, mixing, pieces, quality, secret_scan, tokencounts
+from creditlens.llm import (
+    classifier, embeddings, formatting, jaccard, mixing, pieces, quality, repeats, secret_scan, tokencounts,
+)
 from creditlens.llm.common import read, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,7 +55,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_rules", quality.ORACLE_QUERY)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    out = quality.judge(docs, lambda df: table(df, "quality"))
+    out = quality.judge(docs, lambda df: table(df.drop("text"), "quality"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
@@ -86,3 +88,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_jaccard_join", jaccard.ORACLE_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents"))
+
+
+@query("op4_repeated_bytes")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(read(spark, sf_dir, "documents")))

@@ -28,9 +28,9 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # --- fixed values: the base kinds ---
@@ -167,10 +167,20 @@ def scan_documents(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def clean(docs: DataFrame, text: str = "text", size: str = "n_chars") -> DataFrame:
-    """``docs`` with secrets replaced in the text and the size column following it."""
-    s = scan_documents(docs, text)
-    out = s.withColumn(text, F.col("clean_text"))
-    if size in docs.columns:
-        out = out.withColumn(size, F.when(F.length("spans") > 0, F.length(text).cast(docs.schema[size].dataType))
-                             .otherwise(F.col(size)))
-    return out.select(*docs.columns)
+    """``docs`` with secrets replaced in the text and the size column following it; other columns pass through."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        auto = automaton()
+        for b in batches:
+            texts = list(b[text])
+            hit = np.zeros(len(b), bool)
+            for i, t in enumerate(texts):
+                spans = scan(t, auto) if t else []
+                if spans:
+                    texts[i], hit[i] = redact(t, spans), True
+            out = b.copy()
+            out[text] = texts
+            if size in b.columns and hit.any():
+                out.loc[hit, size] = [len(t) for t, h in zip(texts, hit) if h]
+            yield out
+
+    return docs.mapInPandas(run, docs.schema)
