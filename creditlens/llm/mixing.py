@@ -64,8 +64,8 @@ def targets(sized: DataFrame) -> DataFrame:
         "capped": F.coalesce(F.sum("cap").over(before), F.lit(0.0)),
         "open_w": F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0)),
     }).withColumn("lam", (F.col("budget") - F.col("capped")) / F.col("open_w"))
-    # the level is the first prefix whose next source stays under its cap
-    fits = level.withColumn("level", F.min(F.when(F.col("lam") <= F.col("cap") / F.col("w"), F.col("lam")))
+    # the first prefix whose next source stays under its cap has the largest such level
+    fits = level.withColumn("level", F.max(F.when(F.col("lam") <= F.col("cap") / F.col("w"), F.col("lam")))
                             .over(everything))
     return fits.select("source", "source_size", F.coalesce(
         F.least(F.col("cap"), F.col("level") * F.col("w")), F.col("cap")).alias("target"))
@@ -141,7 +141,7 @@ s1 AS (SELECT *, ((sum(source_size) OVER ()) * 1.5::DOUBLE
     - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / ((sum(w) OVER ()) - coalesce(sum(w) OVER (ORDER BY cap / w, source NULLS LAST
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lam FROM s0),
-s2 AS (SELECT source, source_size, least(cap, (min(lam) FILTER (lam <= cap / w) OVER ()) * w) AS target FROM s1),
+s2 AS (SELECT source, source_size, least(cap, (max(lam) FILTER (lam <= cap / w) OVER ()) * w) AS target FROM s1),
 s3 AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size)::BIGINT END AS passes FROM s2),
 h AS (SELECT s3.source, draw, target - passes * source_size AS rest,
     sum(sum(size)) OVER (PARTITION BY s3.source ORDER BY draw) AS upto, sum(size) AS here
