@@ -74,15 +74,13 @@ def select_drop(df: DataFrame, drop: Sequence[str] = (), keep: Sequence[str] | N
 
 
 def type_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Number of columns per R class (schema only; no data is read)."""
-    spark = df.sparkSession
-    counts: dict[str, int] = {}
-    for f in df.schema.fields:
-        if f.name in exclude:
-            continue
-        k = r_class(f.dataType)
-        counts[k] = counts.get(k, 0) + 1
-    return spark.createDataFrame(sorted(counts.items()), "Data_Type string, Count long")
+    """Per R class the number of columns and of their values present (one aggregate pass)."""
+    classes = {f.name: r_class(f.dataType) for f in df.schema.fields if f.name not in exclude}
+    wide = df.agg(*[F.count(F.col(c)).alias(c) for c in classes])
+    long = wide.unpivot([], list(classes), "_column", "_present")
+    kind = F.create_map(*[F.lit(x) for pair in classes.items() for x in pair])
+    return long.groupBy(F.element_at(kind, F.col("_column")).alias("Data_Type")).agg(
+        F.count(F.lit(1)).alias("Count"), F.sum("_present").alias("Present"))
 
 
 def dictionary_filter(dictionary: DataFrame, table: str, description: str | None = None,

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from creditlens.functions import aggs
 from creditlens.operators.joins import suffix_join
-from creditlens.operators.quantiles import group_mode
 
 CLIENT = "SK_ID_CURR"
 
@@ -30,9 +29,12 @@ def eda_pos_client(pos: DataFrame) -> DataFrame:
 
 def eda_bb_credit(bb: DataFrame) -> DataFrame:
     """Months per credit and the most common status (alphabetical on ties)."""
-    months = bb.groupBy("SK_ID_BUREAU").agg(aggs.count_rows().alias("MONTHS_BUREAU"))
-    mode = group_mode(bb, ["SK_ID_BUREAU"], "STATUS", "STATUS_MOST_COMMON")
-    return months.join(mode, "SK_ID_BUREAU", "left")
+    levels = bb.groupBy("SK_ID_BUREAU", "STATUS").agg(aggs.count_rows().alias("_n"))
+    return levels.groupBy("SK_ID_BUREAU").agg(
+        F.sum("_n").alias("MONTHS_BUREAU"),
+        # NULL ordering keys are skipped, so rows without a status do not compete
+        F.min_by("STATUS", F.when(F.col("STATUS").isNotNull(), F.struct(-F.col("_n"), F.col("STATUS"))))
+        .alias("STATUS_MOST_COMMON"))
 
 
 def eda_bureau_client(bureau: DataFrame, bb: DataFrame) -> DataFrame:

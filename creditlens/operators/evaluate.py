@@ -80,18 +80,20 @@ def first_approving_step(score: Column, steps: int = GRID_STEPS) -> Column:
 
     ``floor(p * steps) + 1`` is corrected against the exact thresholds
     because ``p * steps`` can round across an integer (0.29 * 100 = 28.999...).
+    A missing score is approved by no threshold (a step beyond the grid).
     """
     k = F.floor(score * steps).cast("int") + 1
     k = F.when(score >= k / F.lit(float(steps)), k + 1).otherwise(k)
     k = F.when(score < (k - 1) / F.lit(float(steps)), k - 1).otherwise(k)
-    return F.greatest(k, F.lit(1))
+    return F.when(score.isNull(), steps + 1).otherwise(F.greatest(k, F.lit(1)))
 
 
 def threshold_sweep(df: DataFrame, score: str, label: str, steps: int = GRID_STEPS) -> DataFrame:
     """M17 + J6 + X15: approval rate (%), good / bad approved and profit at 99 thresholds.
 
     Each score is bucketed once by the first threshold that approves it;
-    the bucket totals (at most ``steps`` + 1 rows) are joined to the grid and
+    the bucket totals (at most ``steps`` + 2 rows; a client without a score
+    counts in the denominators and is never approved) are joined to the grid and
     cumulated, which equals comparing every score with every threshold.
     """
     spark = df.sparkSession

@@ -91,15 +91,14 @@ def fit_train_stats(train: DataFrame) -> TrainStats:
     num = train.select(*[F.col(c).cast("double").alias(c) for c in med_cols],
                        scalar.days_to_years("DAYS_BIRTH").alias("AGE_YEARS"))
     long = num.unpivot([], med_cols + ["AGE_YEARS"], "variable", "value")
-    pairs: dict = {}
     with ThreadPoolExecutor(max_workers=2) as pool:
         modes_job = pool.submit(column_modes, train, mode_cols)
-        q = long_quantiles(long, ["variable"], [0.5] + AGE_PROBS, pairs_out=pairs)
+        q = long_quantiles(long, ["variable"], [0.5] + AGE_PROBS)
         modes = modes_job.result()
     medians = {c: q.get((c,), [None])[0] for c in med_cols}
     edges = q[("AGE_YEARS",)][1:]
     labels = scalar.cut_labels(edges)
-    return TrainStats(medians, modes, edges, labels, _modal_bin(train, edges, pairs.get(("AGE_YEARS",))))
+    return TrainStats(medians, modes, edges, labels, _modal_bin(train, edges))
 
 
 def fit_age_bins(train: DataFrame) -> TrainStats:
@@ -109,26 +108,12 @@ def fit_age_bins(train: DataFrame) -> TrainStats:
     statistics; the values equal those of ``fit_train_stats``.
     """
     ages = train.select(scalar.days_to_years("DAYS_BIRTH").alias("value")).withColumn("variable", F.lit("AGE"))
-    pairs: dict = {}
-    edges = long_quantiles(ages, ["variable"], AGE_PROBS, pairs_out=pairs)[("AGE",)]
-    return TrainStats({}, {}, edges, scalar.cut_labels(edges), _modal_bin(train, edges, pairs.get(("AGE",))))
+    edges = long_quantiles(ages, ["variable"], AGE_PROBS)[("AGE",)]
+    return TrainStats({}, {}, edges, scalar.cut_labels(edges), _modal_bin(train, edges))
 
 
-def _modal_bin(train: DataFrame, edges: list[float], age_counts: list | None) -> int | None:
-    """Most frequent right-closed age bin of the training rows, lowest bin on ties.
-
-    When the quantile pass already brought back the (age, count) table it is
-    binned on the driver (same comparisons as the Spark expression);
-    otherwise one aggregate job counts rows per bin.
-    """
-    if age_counts is not None:
-        per_bin: dict[int, int] = {}
-        for value, n in age_counts:
-            b = 1 if edges[0] <= value <= edges[1] else next(
-                (i for i in range(2, len(edges)) if edges[i - 1] < value <= edges[i]), None)
-            if b is not None:
-                per_bin[b] = per_bin.get(b, 0) + n
-        return min(per_bin, key=lambda b: (-per_bin[b], b)) if per_bin else None
+def _modal_bin(train: DataFrame, edges: list[float]) -> int | None:
+    """Most frequent right-closed age bin of the training rows, lowest bin on ties (one aggregate job)."""
     bins = (train.select(scalar.right_closed_bin_index(scalar.days_to_years("DAYS_BIRTH"), edges).alias("b"))
             .where(F.col("b").isNotNull()).groupBy("b").count()
             .orderBy(F.col("count").desc(), F.col("b")).first())

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.operators.quantiles import long_quantiles
+from creditlens.operators.quantiles import clean_value, quantile_frame, same_keys
 
 
 def round4(c) -> Column:
@@ -101,39 +101,35 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """R ``summary``: min, Q1, median, mean, Q3, max and NA count per column.
 
     Min / mean / max / NA come from one aggregate; the quartiles from the
-    exact distributed selection (``long_quantiles``).
+    exact distributed selection.  NaN counts as NA.
     """
-    spark = df.sparkSession
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "variable", "value")
-    st: dict = {}
-    q = long_quantiles(long, ["variable"], [0.25, 0.5, 0.75], stats_out=st)
-    rows = []
-    for c in cols:
-        q1, med, q3 = q.get((c,), [None, None, None])
-        s = st.get((c,))
-        rows.append((c, s["lo"] if s else None, q1, med, s["mean"] if s else None, q3,
-                     s["hi"] if s else None, s["nulls"] if s else df.count()))
-    return spark.createDataFrame(rows, "variable string, Min double, Q1 double, Median double, "
-                                       "Mean double, Q3 double, Max double, NAs long")
+    v = clean_value(F.col("value"))
+    stats = long.groupBy("variable").agg(
+        F.min(v).alias("Min"), F.avg(v).alias("Mean"), F.max(v).alias("Max"),
+        F.count_if(v.isNull()).alias("NAs"))
+    q = quantile_frame(long, ["variable"], [0.25, 0.5, 0.75])
+    return stats.join(q, "variable", "left").select(
+        "variable", "Min", F.col("q0").alias("Q1"), F.col("q1").alias("Median"), "Mean",
+        F.col("q2").alias("Q3"), "Max", "NAs")
 
 
 def box_stats(df: DataFrame, value_cols: Sequence[str], group: str = "TARGET") -> DataFrame:
     """Box-plot statistics per (variable, group): quartiles, 1.5 IQR whiskers, outliers.
 
     Quartiles come from the exact distributed selection; the whiskers and the
-    outlier count from one more aggregate after joining the (small, one row
-    per variable and group) quartile table back.
+    outlier count from one more aggregate after joining the quartile table
+    back (one row per variable and group; AQE decides how).  NaN counts as NULL.
     """
-    spark = df.sparkSession
     long = df.select(F.col(group).alias("grp"), *[F.col(c).cast("double").alias(c) for c in value_cols]) \
-        .unpivot(["grp"], list(value_cols), "variable", "value").where(F.col("value").isNotNull())
-    q = long_quantiles(long, ["variable", "grp"], [0.25, 0.5, 0.75])
-    qdf = spark.createDataFrame([(k[0], k[1], v[0], v[1], v[2]) for k, v in q.items()],
-                                f"variable string, grp {dict(df.dtypes)[group]}, q1 double, "
-                                "median double, q3 double")
-    j = long.join(F.broadcast(qdf), ["variable", "grp"])
+        .unpivot(["grp"], list(value_cols), "variable", "value") \
+        .withColumn("value", clean_value(F.col("value"))).where(F.col("value").isNotNull())
+    q = quantile_frame(long, ["variable", "grp"], [0.25, 0.5, 0.75]).select(
+        F.col("variable").alias("variable_q"), F.col("grp").alias("grp_q"), F.col("q0").alias("q1"),
+        F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    j = long.join(q, same_keys(long, q, ["variable", "grp"], "_q"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence, hi_fence = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     v = F.col("value")

@@ -2,20 +2,20 @@
 
 Spark's exact ``percentile`` keeps a value -> count map of a whole group in
 a single final task, and ``percentile_approx`` is not exact.  The reference
-needs R's type-7 quantiles exactly, so order statistics are selected by
-distributed counting on a long frame ``(key, value)``:
+needs R's type-7 quantiles exactly.  One path serves every size:
 
-1. one aggregate per key gives count / min / max / approximate distinct;
-2. keys whose distinct values fit a fixed budget are reduced by
-   ``groupBy(key, value).count`` (distributed, map-side combined) and the
-   bounded result is ranked on the driver;
-3. for any other key the value range is cut into ``buckets`` equal-width
-   buckets, per-bucket counts are aggregated on the cluster, the bucket
-   holding the wanted rank is kept and the step repeats inside it until the
-   remaining rows fit the budget.
+1. ``groupBy(key, value).count`` collapses ties (pre-aggregated per task);
+2. the distinct values are range-partitioned by (key, value) and written
+   once to the shared folder, so no partition holds more than its share and
+   the partition boundaries are fixed;
+3. counts per (key, partition) give each partition's offset (a window over
+   one row per partition and key), a window inside (key, partition) gives
+   each value its rank range;
+4. the values whose range holds a wanted rank are picked and interpolated.
 
-Every driver-side collect is bounded by ``buckets`` rows, the number of
-keys, or ``local_limit`` rows -- never by the data size.
+NaN counts as NULL; infinities and outliers need no special care, and the
+number of jobs does not depend on the data.  Only the answers (one number
+per key and probability) are collected, and only by the dict interfaces.
 
 Modes use ``unpivot`` + ``groupBy(variable, level).count`` + ``min_by``;
 ties go to the smallest level.
@@ -23,183 +23,93 @@ ties go to the smallest level.
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LOCAL_LIMIT = 200_000
-BUCKETS = 4096
+from creditlens.session import checkpoint_dir
 
 
-def type7_positions(n: int, p: float) -> tuple[int, int, float]:
-    h = (n - 1) * p
-    lo = math.floor(h)
-    hi = math.ceil(h)
-    return lo, hi, h - lo
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared checkpoint folder and read it back; deleted with the JVM."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def _interp(x_lo: float, x_hi: float, frac: float) -> float:
-    if frac == 0 or x_lo == x_hi:
-        return x_lo
-    return (1 - frac) * x_lo + frac * x_hi
+def clean_value(v: Column) -> Column:
+    """The value as a double, NaN as NULL."""
+    d = v.cast("double")
+    return F.when(~F.isnan(d), d)
 
 
-def _rank_in_counts(pairs: list[tuple[float, int]], rank: int) -> float:
-    """Value at 0-based ``rank`` in sorted (value, count) pairs."""
-    acc = 0
-    for v, c in pairs:
-        acc += c
-        if rank < acc:
-            return v
-    raise IndexError(rank)
+def same_keys(a: DataFrame, b: DataFrame, keys: Sequence[str], suffix: str) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[f"{k}{suffix}"])
+    return cond
 
 
-def _select_ranks(rows: DataFrame, keys: list[str], targets: list[tuple], local_limit: int,
-                  buckets: int) -> dict[int, float]:
-    """Exact order statistics for many (key, rank) targets, one job per refinement level.
+def quantile_frame(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Type-7 quantiles of ``value`` per key: columns ``keys``, ``n`` and ``q0, q1, ...`` (one per probability).
 
-    ``targets`` holds ``(tid, key_tuple, rank, lo, hi, n)``: the value at
-    0-based ``rank`` among the key's non-NULL values, all of which lie in
-    [lo, hi] (``n`` of them).  Each level joins the rows to a small table of
-    the open targets (one row per target, broadcast) and aggregates either
-    per distinct value (targets whose range holds few rows, within the
-    collect budget) or per equal-width bucket (the rest), so the number of
-    jobs depends on the number of levels, not on the number of targets.
-    """
-    spark = rows.sparkSession
-    state = {t[0]: {"key": t[1], "rank": t[2], "lo": t[3], "hi": t[4], "n": t[5], "below": 0}
-             for t in targets}
-    out: dict[int, float] = {}
-    key_types = {f.name: f.dataType.simpleString() for f in rows.schema.fields if f.name in keys}
-    while state:
-        for tid in [t for t, s in state.items() if s["lo"] == s["hi"]]:
-            out[tid] = state.pop(tid)["lo"]
-        if not state:
-            break
-        budget, plan = local_limit, []
-        for tid, s in sorted(state.items(), key=lambda kv: kv[1]["n"]):
-            mode = "pairs" if s["n"] <= budget else "bucket"
-            if mode == "pairs":
-                budget -= s["n"]
-            plan.append((tid, *s["key"], s["lo"], s["hi"], (s["hi"] - s["lo"]) / buckets, mode))
-        schema = ", ".join(["_tid long"] + [f"`_k_{k}` {key_types[k]}" for k in keys]
-                           + ["_lo double", "_hi double", "_w double", "_mode string"])
-        tdf = spark.createDataFrame(plan, schema)  # one row per open target: bounded
-        cond = None
-        for k in keys:
-            c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-            cond = c if cond is None else cond & c
-        v = F.col("value")
-        j = rows.join(F.broadcast(tdf), cond).where((v >= F.col("_lo")) & (v <= F.col("_hi")))
-        bucket = F.least(F.floor((v - F.col("_lo")) / F.col("_w")), F.lit(buckets - 1)).cast("double")
-        g = F.when(F.col("_mode") == "pairs", v).otherwise(bucket)
-        got: dict[int, list] = {}
-        for r in (j.groupBy("_tid", g.alias("_g"))
-                  .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-                  .collect()):
-            got.setdefault(r["_tid"], []).append((r["lo"], r["n"], r["hi"]))
-        for tid, *_rest in plan:
-            s = state[tid]
-            cells = sorted(got.get(tid, []))
-            if _rest[-1] == "pairs":
-                out[tid] = _rank_in_counts([(lo, n) for lo, n, _ in cells], s["rank"] - s["below"])
-                del state[tid]
-                continue
-            for lo, n, hi in cells:
-                if s["rank"] - s["below"] < n:
-                    s.update(lo=lo, hi=hi, n=n)
-                    break
-                s["below"] += n
-    return out
-
-
-def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                   local_limit: int = LOCAL_LIMIT, buckets: int = BUCKETS,
-                   stats_out: dict | None = None, pairs_out: dict | None = None) -> dict[tuple, list]:
-    """Type-7 quantiles of ``value`` per key tuple of a long frame.
-
-    ``long`` has the ``keys`` columns and a double ``value`` column; NULL
-    values are ignored.  Returns ``{key_tuple: [q(p) ...]}`` for every key
-    with at least one non-NULL value.  If ``stats_out`` is a dict it receives
-    the first pass's per-key row (n, lo, hi, mean, nulls), so callers that
-    also need those do not scan again; ``pairs_out`` receives the sorted
-    (value, count) table of every key that took the bounded local path.
+    Keys without a value are absent.  NULL keys are keys.
     """
     keys = list(keys)
-    v = F.col("value").cast("double")
-    stats_all = long.groupBy(*keys).agg(
-        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.avg(v).alias("mean"),
-        F.count_if(v.isNull()).alias("nulls"), F.approx_count_distinct(v, 0.02).alias("d")).collect()
-    if stats_out is not None:
-        stats_out.update({tuple(r[k] for k in keys): r for r in stats_all})
-    stats = [r for r in stats_all if r["n"] > 0]
-    rows = long.select(*keys, v.alias("value")).where(F.col("value").isNotNull())
-    budget, small, big = local_limit, [], []
-    for r in sorted(stats, key=lambda r: r["d"]):
-        if r["d"] * 1.1 <= budget:
-            small.append(r)
-            budget -= int(r["d"] * 1.1) + 1
-        else:
-            big.append(r)
-    pairs: dict[tuple, list] = {}
-    if small:
-        small_keys = [tuple(r[k] for k in keys) for r in small]
-        cond = None
-        for kt in small_keys:
-            c = None
-            for k, val in zip(keys, kt):
-                term = F.col(k).isNull() if val is None else (F.col(k) == F.lit(val))
-                c = term if c is None else (c & term)
-            cond = c if cond is None else (cond | c)
-        sel = rows.where(cond) if len(small) < len(stats) else rows
-        for r in sel.groupBy(*keys, "value").count().collect():
-            pairs.setdefault(tuple(r[k] for k in keys), []).append((r["value"], r["count"]))
-    out: dict[tuple, list] = {}
-    for r in small:
-        kt = tuple(r[k] for k in keys)
-        srt = sorted(pairs.get(kt, []))
-        if pairs_out is not None:
-            pairs_out[kt] = srt
-        vals = []
-        for p in probs:
-            lo_i, hi_i, frac = type7_positions(r["n"], p)
-            vals.append(_interp(_rank_in_counts(srt, lo_i), _rank_in_counts(srt, hi_i), frac))
-        out[kt] = vals
-    # every (key, rank) of the large keys is refined together, level by level
-    targets, wanted = [], {}
-    for r in big:
-        kt = tuple(r[k] for k in keys)
-        for p in probs:
-            for rank in type7_positions(r["n"], p)[:2]:
-                if (kt, rank) not in wanted:
-                    wanted[(kt, rank)] = len(targets)
-                    targets.append((len(targets), kt, rank, r["lo"], r["hi"], r["n"]))
-    values = _select_ranks(rows, keys, targets, local_limit, buckets) if targets else {}
-    for r in big:
-        kt = tuple(r[k] for k in keys)
-        vals = []
-        for p in probs:
-            lo_i, hi_i, frac = type7_positions(r["n"], p)
-            vals.append(_interp(values[wanted[(kt, lo_i)]], values[wanted[(kt, hi_i)]], frac))
-        out[kt] = vals
-    return out
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **kw) -> dict[str, list]:
+    counts = (long.select(*keys, clean_value(F.col("value")).alias("value")).where(F.col("value").isNotNull())
+              .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("c")))
+    placed = shared_table(counts.repartitionByRange(*keys, "value").withColumn("_part", F.spark_partition_id()),
+                          "quantiles")
+    parts = placed.groupBy(*keys, "_part").agg(F.sum("c").alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*[F.col(k).alias(f"{k}_o") for k in keys], F.col("_part").alias("_part_o"),
+                         F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
+                         F.sum("_c").over(Window.partitionBy(*keys)).alias("n"))
+    j = placed.join(parts, same_keys(placed, parts, keys, "_o") & (placed["_part"] == parts["_part_o"]))
+    upto = Window.partitionBy(*keys, "_part").orderBy("value")
+    ranked = j.select(*keys, "value", "n", "c", (F.sum("c").over(upto) + F.col("_before")).alias("_end"))
+    picks = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        for name, rank in ((f"lo{i}", F.floor(h)), (f"hi{i}", F.ceil(h))):
+            inside = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("c"))
+            picks.append(F.max(F.when(inside, F.col("value"))).alias(name))
+    got = ranked.groupBy(*keys, "n").agg(*picks)
+    out = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(float(p))
+        frac = h - F.floor(h)
+        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        out.append(F.when((frac == 0) | (lo == hi), lo).otherwise((1 - frac) * lo + frac * hi).alias(f"q{i}"))
+    return got.select(*keys, "n", *out)
+
+
+def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> dict[tuple, list]:
+    """``quantile_frame`` as ``{key_tuple: [q(p) ...]}``: for keys that are column names, one row each."""
+    keys = list(keys)
+    return {tuple(r[k] for k in keys): [r[f"q{i}"] for i in range(len(probs))]
+            for r in quantile_frame(long, keys, probs).collect()}
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
     """R ``quantile(x, probs, type=7, na.rm=TRUE)`` per column; all-NULL gives NULLs."""
     cols = list(cols)
     if not cols:
         return {}
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "variable", "value")
-    got = long_quantiles(long, ["variable"], probs, **kw)
+    got = long_quantiles(long, ["variable"], probs)
     return {c: got.get((c,), [None] * len(probs)) for c in cols}
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float]:
-    return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **kw).items()}
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
+    return {c: v[0] for c, v in exact_quantiles(df, cols, [0.5]).items()}
 
 
 def mode_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -83,7 +83,12 @@ def global_row_number(df: DataFrame, u: str, tie: str, partition: Sequence[str]
     totals = b.groupBy(*part, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w_b = Window.partitionBy(*part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, "_bkt", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
-    joined = b.join(F.broadcast(offsets), [*part, "_bkt"])
+    # NULL partitions keep their rows; AQE broadcasts the offsets when they are small
+    offsets = offsets.withColumnsRenamed({c: f"{c}_o" for c in [*part, "_bkt"]})
+    cond = b["_bkt"] == offsets["_bkt_o"]
+    for c in part:
+        cond = cond & b[c].eqNullSafe(offsets[f"{c}_o"])
+    joined = b.join(offsets, cond).drop(*[f"{c}_o" for c in [*part, "_bkt"]])
     w_in = Window.partitionBy(*part, "_bkt").orderBy(u, tie)
     return joined.withColumn(out, F.col("_off") + F.row_number().over(w_in) - 1) \
         .drop("_bkt", "_one", "_off")

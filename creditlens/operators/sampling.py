@@ -7,11 +7,11 @@ reproduce the draw exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditlens.functions.scalar import md5_uniform
-from creditlens.operators.ranking import global_row_number
+from creditlens.operators.ranking import global_row_number, uniform_bucket
 
 
 def kfold_assign(df: DataFrame, id_col: str, k: int = 3, seed: int = 42, out: str = "fold") -> DataFrame:
@@ -28,21 +28,31 @@ def kfold_assign(df: DataFrame, id_col: str, k: int = 3, seed: int = 42, out: st
 def stratified_split(df: DataFrame, id_col: str, label: str, p: float = 0.8, seed: int = 42,
                      out: str = "split") -> DataFrame:
     """R2 + J5: per class, the ``ceil(p * n_class)`` rows first in random order are
-    ``train``; the rest (the complement) are ``validation``."""
+    ``train``; the rest (the complement) are ``validation``.  Rows without a label
+    are a class of their own."""
     u = df.withColumn("_u", md5_uniform(id_col, seed))
     ranked = global_row_number(u, "_u", id_col, partition=[label], out="_rn")
-    sizes = df.groupBy(label).agg(F.ceil(F.count(F.lit(1)) * p).alias("_keep"))
-    # one row per class: bounded
-    j = ranked.join(F.broadcast(sizes), label)
+    sizes = df.groupBy(F.col(label).alias("_class")).agg(F.ceil(F.count(F.lit(1)) * p).alias("_keep"))
+    j = ranked.join(sizes, F.col(label).eqNullSafe(F.col("_class")))
     return j.withColumn(out, F.when(F.col("_rn") < F.col("_keep"), F.lit("train"))
-                        .otherwise(F.lit("validation"))).drop("_u", "_rn", "_keep")
+                        .otherwise(F.lit("validation"))).drop("_u", "_rn", "_keep", "_class")
 
 
 def sample_n(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """``sample_n(n)``: the n rows first in the seeded random order.
 
-    ``orderBy(...).limit(n)`` runs as a top-n per partition plus a merge of
-    at most n rows per partition, so the limit is the sampling itself.
+    Rows are counted per bucket of the draw; buckets before the one that
+    holds row n are kept whole, and only that one bucket is ranked, so no
+    task merges n rows of every partition.
     """
-    u = md5_uniform(id_col, seed)
-    return df.withColumn("_u", u).orderBy("_u", id_col).limit(n).drop("_u")
+    u = df.withColumns({"_u": md5_uniform(id_col, seed)}).withColumn("_bkt", uniform_bucket(F.col("_u")))
+    upto = Window.orderBy("_bkt")  # one row per bucket, at most BUCKETS
+    run = u.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_bkt", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
+    edge = run.where(F.col("_before") < n).agg(F.max("_bkt").alias("_edge"), F.max("_before").alias("_before"))
+    j = u.join(F.broadcast(edge), F.col("_bkt") <= F.col("_edge"))  # one row
+    whole = j.where(F.col("_bkt") < F.col("_edge"))
+    last = j.where(F.col("_bkt") == F.col("_edge")) \
+        .withColumn("_rn", F.row_number().over(Window.partitionBy("_bkt").orderBy("_u", id_col))) \
+        .where(F.col("_rn") + F.col("_before") <= n)
+    return whole.select(*df.columns).unionByName(last.select(*df.columns))

@@ -51,7 +51,7 @@ APP = f"""app AS (
     CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE (c_custkey * 37 % 1000) / 1000 END AS EXT_SOURCE_1,
     CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE (c_custkey * 91 % 1000) / 1000 END AS EXT_SOURCE_2,
     CASE WHEN c_custkey % 9 = 4 THEN NULL
-         ELSE round((c_acctbal + 1000.0) / 22000 + (c_custkey * 73 % 1000) / 2000, 4) END AS EXT_SOURCE_3,
+         ELSE round(c_nationkey / 50 + (c_custkey * 73 % 1000) / 2000, 4) END AS EXT_SOURCE_3,
     CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE CAST(c_custkey % 5 + 1 AS DOUBLE) END AS CNT_FAM_MEMBERS,
     CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey * 53 % 9000 + 500 AS DOUBLE) END AS AMT_ANNUITY,
     CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE CAST(c_custkey * 101 % 90000 + 9000 AS DOUBLE) END AS AMT_GOODS_PRICE,
@@ -104,8 +104,7 @@ POS = """pos AS (
     CASE WHEN l_orderkey % 7 = 0 THEN NULL
          WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN l_quantity - 45
          ELSE CAST(0 AS DOUBLE) END AS SK_DPD_DEF
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 INSTALL = """install AS (
   SELECT o_custkey AS SK_ID_CURR, l_orderkey AS SK_ID_PREV,

@@ -25,6 +25,10 @@ def _scored(spark, sf):
     return fixtures.scored_rows(Tables(spark, sf))
 
 
+def _some_scored(spark, sf):
+    return _scored(spark, sf).withColumn("p_default", F.when(F.col("SK_ID_CURR") % 37 != 0, F.col("p_default")))
+
+
 def _train(spark, sf):
     return fixtures.application_train(Tables(spark, sf))
 
@@ -40,18 +44,20 @@ def q_kfold_assign(spark, sf):
 @query("stratified_split", with_fixtures(["train"],
     "SELECT SK_ID_CURR, TARGET, CASE WHEN row_number() OVER (PARTITION BY TARGET ORDER BY "
     f"{U}, SK_ID_CURR) - 1 < ceil(0.8 * count(*) OVER (PARTITION BY TARGET)) THEN 'train' "
-    "ELSE 'validation' END AS split FROM train"))
+    "ELSE 'validation' END AS split FROM (SELECT SK_ID_CURR, "
+    "CASE WHEN SK_ID_CURR % 41 <> 0 THEN TARGET END AS TARGET FROM train)"))
 def q_stratified_split(spark, sf):
-    """R2 + J5: exact 80/20 split within each class."""
-    return sampling.stratified_split(_train(spark, sf), "SK_ID_CURR", "TARGET", 0.8, 42) \
+    """R2 + J5: exact 80/20 split within each class; some rows have no label."""
+    rows = _train(spark, sf).withColumn("TARGET", F.when(F.col("SK_ID_CURR") % 41 != 0, F.col("TARGET")))
+    return sampling.stratified_split(rows, "SK_ID_CURR", "TARGET", 0.8, 42) \
         .select("SK_ID_CURR", "TARGET", "split")
 
 
 @query("sample_n", with_fixtures(["train"],
-    f"SELECT SK_ID_CURR, TARGET FROM train ORDER BY {U}, SK_ID_CURR LIMIT 5000"))
+    f"SELECT SK_ID_CURR, TARGET FROM train ORDER BY {U}, SK_ID_CURR LIMIT 60"))
 def q_sample_n(spark, sf):
-    """Seeded sample of 5,000 rows (the tuning subset)."""
-    return sampling.sample_n(_train(spark, sf), "SK_ID_CURR", 5000, 42).select("SK_ID_CURR", "TARGET")
+    """Seeded sample of 60 rows (the tuning subset takes 5,000 the same way)."""
+    return sampling.sample_n(_train(spark, sf), "SK_ID_CURR", 60, 42).select("SK_ID_CURR", "TARGET")
 
 
 _AUC_SQL = ("SELECT (sum(r) FILTER (WHERE TARGET = 1) - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS auc FROM ("
@@ -68,7 +74,9 @@ def q_roc_auc(spark, sf):
 
 @query("majority_baseline", with_fixtures(["train"], rounded(
     "SELECT 'Baseline Accuracy' AS Metric, avg(CAST(TARGET = 0 AS DOUBLE)) AS Value FROM train "
-    "UNION ALL SELECT 'Baseline AUC', CAST(0.5 AS DOUBLE)", ["Value"])))
+    "UNION ALL SELECT 'Baseline AUC', (sum(r) FILTER (WHERE TARGET = 1) - n1 * (n1 + 1) / 2.0) / (n1 * n0) FROM ("
+    "SELECT TARGET, (count(*) OVER () + 1) / 2.0 AS r, count(*) FILTER (WHERE TARGET = 1) OVER () AS n1, "
+    "count(*) FILTER (WHERE TARGET = 0) OVER () AS n0 FROM train) GROUP BY n1, n0", ["Value"])))
 def q_majority_baseline(spark, sf):
     """M1 + A27: majority-class accuracy and the AUC of a constant score."""
     return evaluate.majority_baseline(_train(spark, sf), "TARGET")
@@ -97,11 +105,13 @@ def q_confusion_metrics(spark, sf):
     return evaluate.confusion_metrics(_scored(spark, sf), "p_default", "TARGET", 0.65)
 
 
-SWEEP = ("sweep AS (SELECT CAST(k AS DOUBLE) / 100 AS threshold, "
+# some clients have no score
+SWEEP = ("partly AS (SELECT TARGET, CASE WHEN SK_ID_CURR % 37 <> 0 THEN p_default END AS p_default FROM scored),\n"
+         "sweep AS (SELECT CAST(k AS DOUBLE) / 100 AS threshold, "
          "CAST(100 AS DOUBLE) * count(*) FILTER (WHERE p_default < CAST(k AS DOUBLE) / 100) / count(*) AS approval_rate, "
          "count(*) FILTER (WHERE p_default < CAST(k AS DOUBLE) / 100 AND TARGET = 0) AS good_approved, "
          "count(*) FILTER (WHERE p_default < CAST(k AS DOUBLE) / 100 AND TARGET = 1) AS bad_approved, "
-         "count(*) AS n FROM (SELECT range AS k FROM range(1, 100)) AS grid, scored GROUP BY k),\n"
+         "count(*) AS n FROM (SELECT range AS k FROM range(1, 100)) AS grid, partly GROUP BY k),\n"
          "sweep2 AS (SELECT threshold, approval_rate, good_approved, bad_approved, "
          "good_approved * CAST(0.12 AS DOUBLE) + bad_approved * CAST(-0.60 AS DOUBLE) AS profit, "
          "(good_approved * CAST(0.12 AS DOUBLE) + bad_approved * CAST(-0.60 AS DOUBLE)) / n AS profit_per_applicant "
@@ -112,7 +122,7 @@ _SWEEP_D = ["threshold", "approval_rate", "profit", "profit_per_applicant"]
 @query("threshold_sweep", with_fixtures(["scored"], rounded("SELECT * FROM sweep2", _SWEEP_D), [SWEEP]))
 def q_threshold_sweep(spark, sf):
     """M17 + J6 + X15: 99-threshold profit sweep (approve iff p < t)."""
-    return evaluate.threshold_sweep(_scored(spark, sf), "p_default", "TARGET")
+    return evaluate.threshold_sweep(_some_scored(spark, sf), "p_default", "TARGET")
 
 
 @query("top_thresholds", with_fixtures(["scored"], rounded(
@@ -121,7 +131,7 @@ def q_threshold_sweep(spark, sf):
     "FROM (SELECT * FROM sweep2 ORDER BY profit DESC, threshold LIMIT 10)", ["threshold", "profit"]), [SWEEP]))
 def q_top_thresholds(spark, sf):
     """M18 + L3 + L4 + X13: top ten thresholds by profit."""
-    return evaluate.top_thresholds(evaluate.threshold_sweep(_scored(spark, sf), "p_default", "TARGET"))
+    return evaluate.top_thresholds(evaluate.threshold_sweep(_some_scored(spark, sf), "p_default", "TARGET"))
 
 
 @query("optimal_threshold", with_fixtures(["scored"], rounded(
@@ -130,7 +140,7 @@ def q_top_thresholds(spark, sf):
     ["optimal_threshold", "profit_per_applicant"]), [SWEEP]))
 def q_optimal_threshold(spark, sf):
     """M19 + L5: profit-maximising threshold (first on ties)."""
-    return evaluate.optimal_threshold(evaluate.threshold_sweep(_scored(spark, sf), "p_default", "TARGET"))
+    return evaluate.optimal_threshold(evaluate.threshold_sweep(_some_scored(spark, sf), "p_default", "TARGET"))
 
 
 @query("threshold_sensitivity", with_fixtures(["scored"], rounded(
@@ -141,7 +151,7 @@ def q_optimal_threshold(spark, sf):
     ["threshold", "profit_per_applicant"]), [SWEEP]))
 def q_threshold_sensitivity(spark, sf):
     """Profit per applicant at the optimum and 0.05 either side."""
-    return evaluate.threshold_sensitivity(evaluate.threshold_sweep(_scored(spark, sf), "p_default", "TARGET"))
+    return evaluate.threshold_sensitivity(evaluate.threshold_sweep(_some_scored(spark, sf), "p_default", "TARGET"))
 
 
 _AGE = "abs(DAYS_BIRTH) / 365"

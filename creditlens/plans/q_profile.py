@@ -268,9 +268,12 @@ def q_select_by_type(spark, sf):
 @query("type_profile", with_fixtures(["train"],
     "SELECT CASE WHEN column_type IN ('INTEGER', 'SMALLINT', 'TINYINT') THEN 'integer' "
     "WHEN column_type IN ('DOUBLE', 'BIGINT', 'FLOAT') THEN 'numeric' ELSE 'character' END AS Data_Type, "
-    "count(*) AS Count FROM (DESCRIBE SELECT * EXCLUDE (TARGET, SK_ID_CURR) FROM train) GROUP BY 1"))
+    "count(*) AS Count, sum(present)::BIGINT AS Present "
+    "FROM (DESCRIBE SELECT * EXCLUDE (TARGET, SK_ID_CURR) FROM train) AS d "
+    "JOIN (UNPIVOT (SELECT count(COLUMNS(* EXCLUDE (TARGET, SK_ID_CURR))) FROM train) ON COLUMNS(*) "
+    "INTO NAME column_name VALUE present) AS p USING (column_name) GROUP BY 1"))
 def q_type_profile(spark, sf):
-    """Columns per R class (label and id excluded)."""
+    """Columns per R class (label and id excluded) and their values present."""
     return columns.type_profile(fixtures.application_train(_t(spark, sf)), exclude=["TARGET", "SK_ID_CURR"])
 
 
@@ -330,12 +333,13 @@ def q_zero_fill_group(spark, sf):
     return app.fillna(0, subset=grp).select("SK_ID_CURR", *grp)
 
 
-@query("dict_select", "SELECT unnest(['APARTMENTS_AVG', 'BASEMENTAREA_AVG', 'LIVINGAREA_MEDI']) AS \"Row\"")
+@query("dict_select", with_fixtures(["app"], rounded(
+    "SELECT SK_ID_CURR, APARTMENTS_AVG, BASEMENTAREA_AVG, LIVINGAREA_MEDI FROM app",
+    ["APARTMENTS_AVG", "BASEMENTAREA_AVG", "LIVINGAREA_MEDI"])))
 def q_dict_select(spark, sf):
     """S2 + F1 + P4: building columns named by the dictionary, minus the categorical ones."""
     app = fixtures.application(_t(spark, sf))
-    names = fm.building_vars(app)
-    return app.sparkSession.createDataFrame([(n,) for n in names], "Row string")
+    return app.select("SK_ID_CURR", *fm.building_vars(app))
 
 
 @query("filter_eq", with_fixtures(["app"], rounded(

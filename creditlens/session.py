@@ -14,14 +14,22 @@ from pyspark.sql import SparkSession
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "creditlens") -> SparkSession:
-    master = master or os.environ.get("CREDITLENS_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("CREDITLENS_SHUFFLE_PARTITIONS", "8"))
+    """A session for tests, the bench and ad-hoc use.
+
+    Under ``spark-submit`` (or when a session is active) the submitted master
+    and shuffle partitions stay; without either a local master with 8 shuffle
+    partitions is used.
+    """
+    given = SparkSession.getActiveSession() is not None or "SPARK_ENV_LOADED" in os.environ
+    master = master or os.environ.get("CREDITLENS_MASTER") or (None if given else "local[8]")
+    parts = shuffle_partitions or os.environ.get("CREDITLENS_SHUFFLE_PARTITIONS") or (None if given else 8)
+    builder = SparkSession.builder if master is None else SparkSession.builder.master(master)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -30,7 +38,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CREDITLENS_DRIVER_MEMORY", "16g"))
     )
-    if master.startswith("local"):
+    if master and master.startswith("local"):
         # one executor: waiting for a "more local" slot only idles cores
         builder = builder.config("spark.locality.wait", "0s")
     spark = builder.getOrCreate()

@@ -79,7 +79,7 @@ _APPLICATION_COLUMNS = [
     ("TARGET", "CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS INT)"),
     ("EXT_SOURCE_1", _nul("k % 7 = 0", "(k * 37 % 1000) / 1000")),
     ("EXT_SOURCE_2", _nul("k % 11 = 0", "(k * 91 % 1000) / 1000")),
-    ("EXT_SOURCE_3", _nul("k % 9 = 4", "round((c_acctbal + 1000.0D) / 22000 + (k * 73 % 1000) / 2000, 4)")),
+    ("EXT_SOURCE_3", _nul("k % 9 = 4", "round(nk / 50 + (k * 73 % 1000) / 2000, 4)")),
     ("CNT_FAM_MEMBERS", _nul("k % 13 = 0", "CAST(k % 5 + 1 AS DOUBLE)")),
     ("AMT_ANNUITY", _nul("k % 17 = 0", "CAST(k * 53 % 9000 + 500 AS DOUBLE)")),
     ("AMT_GOODS_PRICE", _nul("k % 19 = 0", "CAST(k * 101 % 90000 + 9000 AS DOUBLE)")),
@@ -138,9 +138,8 @@ def _line_orders(t: Tables) -> DataFrame:
 
 
 def pos_cash(t: Tables) -> DataFrame:
-    """POS_CASH_balance: (client, loan, month) rows of POS loans."""
-    lo = _line_orders(t).where("o_orderpriority IN ('1-URGENT', '2-HIGH')")
-    return lo.selectExpr(
+    """POS_CASH_balance: (client, loan, month) rows, one per line of every order."""
+    return _line_orders(t).selectExpr(
         "o_custkey AS SK_ID_CURR", "l_orderkey AS SK_ID_PREV",
         "CAST(-l_linenumber AS DOUBLE) AS MONTHS_BALANCE",
         _nul("l_linenumber = 3", "l_quantity") + " AS CNT_INSTALMENT",

@@ -21,7 +21,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, dir).orders`` reads orders.parquet once."""
+    """Lazy accessor: ``Tables(spark, dir).orders`` reads orders.parquet once, NaN as NULL."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -32,7 +32,7 @@ class Tables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
+            self._cache[name] = nan_to_null(read_table(self.spark, self.sf_dir, name))
         return self._cache[name]
 
 
@@ -67,7 +67,3 @@ def write_csv_na(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S3: CSV sink with a header; NULL written as ``NA`` like the reference."""
     (df.write.mode(mode).option("header", True).option("nullValue", "NA")
        .option("emptyValue", "").csv(path))
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)

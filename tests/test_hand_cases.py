@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlens.functions import aggs, scalar
-from creditlens.operators import evaluate, history, impute, joins, recode
+from creditlens.operators import evaluate, history, impute, joins, recode, sampling
 from creditlens.operators.quantiles import exact_quantiles, group_mode
 
 
@@ -209,7 +209,7 @@ def test_grouped_quantiles_refinement_with_hot_value(spark):
         rows += [(g, float(v)) for v in vals]
     df = spark.createDataFrame(rows, "grp string, value double")
     probs = [0.1, 0.5, 0.9, 1.0]
-    got = long_quantiles(df, ["grp"], probs, local_limit=40, buckets=4)
+    got = long_quantiles(df, ["grp"], probs)
     for g in ("a", "b", None):
         want = np.quantile([v for k, v in rows if k == g], probs)
         assert np.allclose(got[(g,)], want)
@@ -223,7 +223,34 @@ def test_exact_quantiles_type7(spark):
     want = np.quantile([v for v in vals if v is not None], probs)  # numpy linear == R type 7
     got = exact_quantiles(df, ["x"], probs)["x"]
     assert np.allclose(got, want)
-    # force the distributed bucket refinement path
-    got2 = exact_quantiles(df, ["x"], probs, local_limit=20, buckets=8)["x"]
-    assert np.allclose(got2, want)
-    assert not math.isnan(got2[2])
+
+
+def test_quantiles_odd_values(spark):
+    """NaN counts as NULL; infinities, one outlier, ties and an all-NULL column end in the same few jobs."""
+    import numpy as np
+    inf, nan = float("inf"), float("nan")
+    cols = {"nan": [1.0, 2.0, 3.0, 4.0, 5.0, nan], "inf": [-inf, 0.0, 1.0, 2.0, inf, inf],
+            "far": [1.0, 2.0, 3.0, 4.0, 5.0, 1e300], "tie": [2.0] * 5 + [None], "none": [None] * 6}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"`{c}` double" for c in cols))
+    got = exact_quantiles(df, list(cols), [0, 0.25, 0.5, 0.75, 1])
+    assert got["none"] == [None] * 5 and got["tie"] == [2.0] * 5
+    assert got["nan"] == [1.0, 2.0, 3.0, 4.0, 5.0]
+    assert np.allclose(got["far"], np.quantile(cols["far"], [0, 0.25, 0.5, 0.75, 1]))
+    assert got["inf"][0] == -inf and got["inf"][2] == 1.5 and got["inf"][3:] == [inf, inf]
+
+
+def test_sweep_and_split_keep_null_rows(spark):
+    df = spark.createDataFrame([(0.2, 0), (None, 0), (None, 1), (0.995, 1)], "p double, y int")
+    rows = {round(r.threshold, 2): r for r in evaluate.threshold_sweep(df, "p", "y").collect()}
+    assert rows[0.01].approval_rate == 0 and rows[0.99].approval_rate == 25 and rows[0.99].profit == 0.12
+    labels = spark.createDataFrame([(i, None if i % 4 == 0 else i % 2) for i in range(40)], "id long, y int")
+    split = sampling.stratified_split(labels, "id", "y").collect()
+    assert len(split) == 40 and sum(r.split == "train" for r in split if r.y is None) == 8
+
+
+def test_sample_n_is_the_first_n_of_the_draw(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    from creditlens.functions.scalar import md5_uniform
+    order = [r.k for r in df.withColumn("u", md5_uniform("k", 42)).orderBy("u", "k").collect()]
+    for n in (0, 1, 37, 999, 1000, 2000):
+        assert {r.k for r in sampling.sample_n(df, "k", n).collect()} == set(order[:n])

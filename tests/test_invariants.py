@@ -76,16 +76,6 @@ def test_fit_depends_on_train_only(spark):
     assert [r[0] for r in filled] == [s1.medians["DAYS_LAST_PHONE_CHANGE"]]
 
 
-def test_modal_bin_driver_and_cluster_paths_agree(spark):
-    from creditlens.functions import scalar
-    from creditlens.operators.quantiles import long_quantiles
-    train = fixtures.application_train(Tables(spark, SF01))
-    ages = train.select(scalar.days_to_years("DAYS_BIRTH").alias("value")).withColumn("v", F.lit("AGE"))
-    pairs: dict = {}
-    edges = long_quantiles(ages, ["v"], impute.AGE_PROBS, pairs_out=pairs)[("AGE",)]
-    assert impute._modal_bin(train, edges, pairs[("AGE",)]) == impute._modal_bin(train, edges, None)
-
-
 def test_transform_is_deterministic(spark):
     b = fm.build(spark, SF001)
     a = sorted(map(tuple, b.train.collect()))
