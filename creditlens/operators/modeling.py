@@ -114,8 +114,11 @@ def logistic(reg: float = 0.0, alpha: float = 0.0, max_iter: int = 100) -> Logis
                               elasticNetParam=alpha, maxIter=max_iter, standardization=True)
 
 
-def forest(num_trees: int = 200, seed: int = 42) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=num_trees, seed=seed)
+def forest(num_trees: int = 200, seed: int = 42, max_depth: int = 12) -> RandomForestClassifier:
+    """M5.  The reference grows trees without a depth limit; Spark ML needs one (30 at most) and keeps a
+    node table that doubles per level, so ``max_depth`` is a parameter: 12 levels hold 4,096 leaves."""
+    return RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=num_trees, seed=seed,
+                                  maxDepth=max_depth)
 
 
 def with_probability(pred: DataFrame, out: str = "p_default") -> DataFrame:
@@ -167,6 +170,12 @@ class FittedModel:
             out += [f"{c}_{v}" for v in lv]
         return out
 
+    def sources(self) -> dict[str, str]:
+        """Source column of every design column, from the fitted indexer."""
+        idx = [s for s in self.model.stages if s.__class__.__name__ == "StringIndexerModel"]
+        labels = dict(zip(self.categorical, idx[0].labelsArray)) if idx else {}
+        return {c: c for c in self.numeric} | {f"{c}_{v}": c for c, lv in labels.items() for v in lv}
+
     def nonzero(self) -> int:
         lr = self.model.stages[-1]
         return int(sum(1 for c in lr.coefficients.toArray() if c != 0))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from creditlens.operators import eda
-from creditlens.plans.oracle_sql import APP_DOUBLES, rounded, with_fixtures
+from creditlens.operators import columns, eda, profile
+from creditlens.plans.oracle_sql import APP_DOUBLES, rnd, rounded, with_fixtures
 from creditlens.plans.registry import query
 from creditlens.sources import fixtures
 from creditlens.sources.tables import Tables
@@ -110,14 +110,64 @@ _AUG_D = (APP_DOUBLES + ["CNT_INSTALMENT_MEAN", "CNT_INSTALMENT_FUTURE_MEAN", "S
 def q_eda_augment(spark, sf):
     """D22 + J4: training rows joined to the five summaries; clashing names suffixed."""
     t = _t(spark, sf)
+    return _augmented(t, fixtures.application_train(t))
+
+
+_AUG_TABLES = ["pos", "bureau", "bb", "cc", "prev", "install"]
+_AUG_CTES = [EDA_POS, EDA_BUREAU, EDA_CARD, EDA_PREV, EDA_INST, f"aug AS ({_AUG_SQL})"]
+_COUNTS = ["POS_CASH_LOANS", "MONTHS_HISTORY", "BUREAU_CREDITS", "CREDIT_ACTIVE_COUNT", "CC_LOANS", "MONTHS_CC",
+           "NUM_PREV_APPS", "NUM_APPROVED", "NUM_REFUSED", "NUM_INSTALLMENTS"]
+_AUG_NUMERIC = _AUG_D + _COUNTS
+
+
+def _augmented(t, app):
     return eda.eda_augment(
-        fixtures.application_train(t), eda.eda_pos_client(fixtures.pos_cash(t)),
+        app, eda.eda_pos_client(fixtures.pos_cash(t)),
         eda.eda_bureau_client(fixtures.bureau(t), fixtures.bureau_balance(t)),
         eda.eda_card_client(fixtures.credit_card_balance(t)),
         eda.eda_prev_client(fixtures.previous_application(t)),
         eda.eda_install_client(fixtures.installments(t)))
 
 
+@query("eda_augment_test", with_fixtures(["test", *_AUG_TABLES], rounded(
+    _AUG_SQL.replace("train.*", "test.*").replace("FROM train", "FROM test"), _AUG_D), _AUG_CTES[:-1]))
+def q_eda_augment_test(spark, sf):
+    """The unlabelled rows joined to the five summaries."""
+    t = _t(spark, sf)
+    return _augmented(t, fixtures.application_test(t))
+
+
+@query("target_corr_augmented", with_fixtures(["train", *_AUG_TABLES], " UNION ALL ".join(
+    f"SELECT '{c}' AS Predictor, {rnd(rnd(f'CASE WHEN stddev_pop({c}) > 0 THEN corr({c}, CAST(TARGET AS DOUBLE)) END', 9), 4)} AS Correlation_with_Target "
+    f"FROM aug" for c in _AUG_NUMERIC), _AUG_CTES))
+def q_target_corr_augmented(spark, sf):
+    """Correlations with the label over the augmented frame."""
+    t = _t(spark, sf)
+    train = _augmented(t, fixtures.application_train(t))
+    return profile.target_corr(train, "TARGET", columns.numeric_columns(train, exclude=["TARGET", "SK_ID_CURR"]))
+
+
+_BOX_AUG = ["AMT_CREDIT_SUM", "NUM_REFUSED", "DAYS_LATE_MEAN", "AMT_BALANCE_MEAN"]
+
+
+@query("box_stats_augmented", with_fixtures(["train", *_AUG_TABLES], rounded(
+    "SELECT variable, TARGET, q1, median, q3, "
+    "min(value) FILTER (WHERE value >= q1 - 1.5 * (q3 - q1)) AS lower_whisker, "
+    "max(value) FILTER (WHERE value <= q3 + 1.5 * (q3 - q1)) AS upper_whisker, "
+    "count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_outliers, "
+    "count(*) AS n FROM long JOIN q USING (variable, TARGET) GROUP BY variable, TARGET, q1, median, q3",
+    ["q1", "median", "q3", "lower_whisker", "upper_whisker"]), _AUG_CTES + [
+        "long AS (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS variable, TARGET, CAST({c} AS DOUBLE) AS value FROM aug WHERE {c} IS NOT NULL"
+            for c in _BOX_AUG) + ")",
+        "q AS (SELECT variable, TARGET, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
+        "quantile_cont(value, 0.75) AS q3 FROM long GROUP BY variable, TARGET)"]))
+def q_box_stats_augmented(spark, sf):
+    """Box-plot statistics of history summaries by class."""
+    t = _t(spark, sf)
+    return profile.box_stats(_augmented(t, fixtures.application_train(t)), _BOX_AUG, "TARGET")
+
+
 @query("join_suffix", with_fixtures(["pos", "cc"], rounded(
     "SELECT SK_ID_CURR, p.* EXCLUDE (SK_ID_CURR, SK_DPD_MEAN, SK_DPD_DEF_MEAN), "
     "p.SK_DPD_MEAN AS SK_DPD_MEAN_x, p.SK_DPD_DEF_MEAN AS SK_DPD_DEF_MEAN_x, "

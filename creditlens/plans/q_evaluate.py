@@ -190,9 +190,14 @@ def _map_values_sql() -> str:
     "COALESCE(m.allowed, c.Predictor <> 'CODE_GENDER') AS allowed FROM ("
     + " UNION ALL ".join(f"SELECT '{c}' AS Predictor, {rnd(rnd(f'corr({c}, CAST(TARGET AS DOUBLE))', 9), 4)} "
                          "AS Correlation_with_Target FROM train" for c in APP_DOUBLES)
+    + f" UNION ALL SELECT 'EXT_SOURCE_1_missing', "
+      f"{rnd(rnd('corr(CAST(EXT_SOURCE_1 IS NULL AS DOUBLE), CAST(TARGET AS DOUBLE))', 9), 4)} FROM train"
     + f") AS c LEFT JOIN {_map_values_sql()} ON c.Predictor = m.Feature"))
 def q_adverse_action_map(spark, sf):
-    """M22 + J7: ranked predictors mapped to adverse-action reasons; protected ones withheld."""
-    train = _train(spark, sf)
+    """M22 + J7: ranked predictors mapped to adverse-action reasons; protected ones withheld.
+
+    A missing flag is a predictor of its own and has no reason.
+    """
+    train = impute.missing_flags(_train(spark, sf), ["EXT_SOURCE_1"])
     imp = profile.target_corr(train, "TARGET", numeric_columns(train, exclude=["TARGET", "SK_ID_CURR"]))
     return fairness.adverse_action_map(imp, spark, feature="Predictor")

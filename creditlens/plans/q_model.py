@@ -77,7 +77,7 @@ def q_fit_logistic(spark, sf):
 
 @query("fit_lasso_cv")
 def q_fit_lasso_cv(spark, sf):
-    """M4: L1 logistic regression, penalty chosen by inner 3-fold CV on ROC AUC."""
+    """M4: L1 logistic regression, penalty chosen by inner 3-fold CV on log-loss."""
     train, num, cat = _folds(spark, sf)
     return modeling.cv_lasso(train, num, cat).coefficients(spark)
 
@@ -98,7 +98,7 @@ def _oof(spark, sf):
 
 @query("oof_predictions")
 def q_oof_predictions(spark, sf):
-    """M6: out-of-fold scores of the three candidate models (3 seeded folds)."""
+    """M6: out-of-fold scores of the three candidate models on the application columns (3 seeded folds)."""
     return _oof(spark, sf)[0]
 
 
@@ -112,11 +112,9 @@ def q_model_comparison(spark, sf):
 @query("feature_set_comparison")
 def q_feature_set_comparison(spark, sf):
     """M8: LASSO CV AUC on application-only columns vs all columns."""
-    train, num, cat = _folds(spark, sf)
-    anum, acat = training.application_only_columns(spark, sf, train)
-    app_only, _ = training.oof_predictions(train, anum, acat, models=("LASSO",))
-    # the all-columns LASSO scores are the ones of M6 (same folds and seed): reused
-    full = _oof(spark, sf)[0].where(F.col("model") == "LASSO")
+    # the application-only LASSO scores are the ones of M6 (same folds and seed): reused
+    app_only = _oof(spark, sf)[0].where(F.col("model") == "LASSO")
+    full = training.oof_lasso_full(spark, sf)
     rows = [("Application Only", training.auc_of(app_only)),
             ("Application + Supplementary", training.auc_of(full))]
     return spark.createDataFrame(rows, "Feature_Set string, CV_AUC double")
@@ -142,7 +140,7 @@ def q_top_features(spark, sf):
     ff = training.final_fit(spark, sf)
     coef = ff.model.coefficients(spark)
     top = coef.orderBy(F.abs("Coefficient").desc(), "Feature").limit(20)
-    return adverse_action_map(top, spark, feature="Feature")
+    return adverse_action_map(top, spark, feature="Feature", sources=ff.model.sources())
 
 
 @query("score_batch")

@@ -189,6 +189,20 @@ def q_missing_summary(spark, sf):
     return profile.missing_summary(combined, exclude=["TARGET", "SK_ID_CURR"])
 
 
+_NO_BUILDING = [c for c in _NON_ID if c not in ("APARTMENTS_AVG", "BASEMENTAREA_AVG", "LIVINGAREA_MEDI")]
+
+
+@query("missing_summary_no_building", with_fixtures(["train", "test"], "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS Variable, count(*) FILTER (WHERE {c} IS NULL) AS Count, "
+    f"{_r4(f'count(*) FILTER (WHERE {c} IS NULL) / count(*)')} AS Proportion FROM combined"
+    for c in _NO_BUILDING + ["dataset"]) + ") WHERE Count > 0", [_COMBINED]))
+def q_missing_summary_no_building(spark, sf):
+    """The second missing table, without the building columns."""
+    t = _t(spark, sf)
+    combined = profile.union_train_test(fixtures.application_train(t), fixtures.application_test(t))
+    return profile.missing_summary(combined, exclude=["TARGET", "SK_ID_CURR", *fm.building_vars(combined)])
+
+
 @query("numeric_summary", with_fixtures(["train"], rounded(" UNION ALL ".join(
     f"SELECT '{c}' AS variable, min({c}) AS Min, quantile_cont({c}, 0.25) AS Q1, "
     f"quantile_cont({c}, 0.5) AS Median, avg({c}) AS Mean, quantile_cont({c}, 0.75) AS Q3, "

@@ -220,12 +220,21 @@ class FinalFit:
 
 
 def oof_cached(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
-    """M6 on the checkpointed training matrix, computed once per session."""
+    """M6: the candidate models on the application columns, computed once per session."""
     key = ("oof", sf, spark.sparkContext.applicationId)
+    if key not in _CACHE:
+        train = feature_build(spark, sf).train
+        _CACHE[key] = oof_predictions(train, *application_only_columns(spark, sf, train))
+    return _CACHE[key]
+
+
+def oof_lasso_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Out-of-fold LASSO scores on all columns, computed once per session."""
+    key = ("oof-full", sf, spark.sparkContext.applicationId)
     if key not in _CACHE:
         train = feature_build(spark, sf).train
         num, cat = modeling.feature_columns(train)
-        _CACHE[key] = oof_predictions(train, num, cat)
+        _CACHE[key] = oof_predictions(train, num, cat, models=("LASSO",))[0]
     return _CACHE[key]
 
 
@@ -236,8 +245,7 @@ def save_artifacts(spark: SparkSession, sf: str, root: str, ff: FinalFit) -> dic
     keyed by id (no positional vectors).
     """
     train = feature_build(spark, sf).train
-    oof, _ = oof_cached(spark, sf)
-    lasso = oof.where(F.col("model") == "LASSO").select(ID, LABEL, "fold", "p_default")
+    lasso = oof_lasso_full(spark, sf).select(ID, LABEL, "fold", "p_default")
     share = train.agg(F.avg(F.col(LABEL).cast("double"))).first()[0]
     tables = {
         "validation": ff.validation,
@@ -291,7 +299,3 @@ def performance_table(spark: SparkSession, ff: FinalFit) -> DataFrame:
     return spark.createDataFrame([("Cross-Validated AUC", ff.cv_auc), ("Validation AUC", ff.val_auc)],
                                  "Metric string, Value double")
 
-
-def evaluator() -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction",
-                                         metricName="areaUnderROC", numBins=0)
