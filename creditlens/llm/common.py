@@ -53,6 +53,8 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> Data
     """
     e = table(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
               .filter("u <> v").distinct(), "cc")
+    if e.isEmpty():
+        return nodes.select("id", F.col("id").alias("comp"))
     stamp = None
     for _ in range(max_rounds):
         # large star: link every larger neighbour of u to the smallest of u's neighbourhood
