@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from creditlens.llm.common import table
+
 # Split pattern that belongs to the rank files (fixed value, from their README).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 BLOCK = 1024
-PIECE = 1 << 16  # code points handed to the encoder at once
 
 _encoders: dict = {}
 
@@ -69,7 +70,8 @@ def count_tokens(docs: DataFrame, text: str = "text", ranks: str = RANKS) -> Dat
 
 def histogram(lengths: DataFrame) -> DataFrame:
     """(n_tokens) rows -> one row per length with suffix sums."""
-    hist = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # written once: the texts are encoded once although the histogram is read twice
+    hist = table(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")), "token-histogram")
     hist = hist.withColumns({"block": F.shiftright("n_tokens", 10), "tok": F.col("n_tokens") * F.col("n_docs")})
     blocks = hist.groupBy("block").agg(F.sum("n_docs").alias("bd"), F.sum("tok").alias("bt"))
     after = Window.orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, -1)
