@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from creditlens.operators import modeling, sampling
+from creditlens.operators import evaluate, fairness, modeling, sampling
 from creditlens.operators.fairness import adverse_action_map
 from creditlens.operators.modeling import ID, LABEL
 from creditlens.operators.smote import smote
@@ -194,3 +194,39 @@ def q_smote(spark, sf):
     x = design.transform(split).select(ID, "features", LABEL)
     return smote(x, ID, "features", LABEL).select(ID, LABEL, "synthetic",
                                                    vector_to_array("features").alias("x"))
+
+
+def _validation(spark, sf):
+    """The validation rows' learned scores (id, label, groups, p_default)."""
+    return training.final_fit(spark, sf).validation
+
+
+@query("validation_confusion")
+def q_validation_confusion(spark, sf):
+    """M15 on the final model's validation scores."""
+    return evaluate.confusion_metrics(_validation(spark, sf), "p_default", LABEL, 0.65)
+
+
+@query("validation_sweep")
+def q_validation_sweep(spark, sf):
+    """M17 on the final model's validation scores."""
+    return evaluate.threshold_sweep(_validation(spark, sf), "p_default", LABEL)
+
+
+@query("validation_top_thresholds")
+def q_validation_top_thresholds(spark, sf):
+    """M18 on the final model's validation scores."""
+    return evaluate.top_thresholds(q_validation_sweep(spark, sf))
+
+
+@query("validation_sensitivity")
+def q_validation_sensitivity(spark, sf):
+    """M19 + M20 on the final model's validation scores: the optimum (offset 0) and 0.05 either side."""
+    return evaluate.threshold_sensitivity(q_validation_sweep(spark, sf))
+
+
+@query("validation_approval")
+def q_validation_approval(spark, sf):
+    """M21 on the final model's validation scores."""
+    return fairness.approval_by_group(_validation(spark, sf), "p_default",
+                                      ["CODE_GENDER", "NAME_EDUCATION_TYPE", "AGE_BIN"])

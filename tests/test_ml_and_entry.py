@@ -122,3 +122,34 @@ def test_oracle_agrees_at_smoke_scale(spark, name):
     a = sorted((tuple(r[i] for i in sorder) for r in sdf.collect()), key=repr)
     b = sorted((tuple(r[i] for i in order) for r in cur.fetchall()), key=repr)
     assert a == b
+
+
+def test_reports_on_validation_scores(spark):
+    """Each decision report equals the one recomputed by hand from the saved validation scores."""
+    import __spark_entry__ as entry
+    qs = entry.queries()
+    rows = training.final_fit(spark, SF001).validation.collect()
+    n = len(rows)
+    assert n > 0
+    c = qs["validation_confusion"](spark, SF001).first()
+    low = [r for r in rows if r.p_default < 0.65]
+    assert (c.tn, c.fn) == (sum(r.TARGET == 0 for r in low), sum(r.TARGET == 1 for r in low))
+    sweep = {round(r.threshold * 100): r for r in qs["validation_sweep"](spark, SF001).collect()}
+    assert len(sweep) == 99
+    best = None
+    for k in range(1, 100):
+        good = sum(r.p_default < k / 100 and r.TARGET == 0 for r in rows)
+        bad = sum(r.p_default < k / 100 and r.TARGET == 1 for r in rows)
+        profit = 0.12 * good - 0.6 * bad
+        assert (sweep[k].good_approved, sweep[k].bad_approved) == (good, bad)
+        assert abs(sweep[k].profit_per_applicant - profit / n) < 1e-6
+        if best is None or profit > best[1] + 1e-9:
+            best = (k, profit)
+    sensitivity = {r.offset_steps: r for r in qs["validation_sensitivity"](spark, SF001).collect()}
+    assert round(sensitivity[0].threshold * 100) == best[0]
+    top = qs["validation_top_thresholds"](spark, SF001).collect()
+    assert len(top) == 10 and any(r.is_max_profit for r in top)
+    for r in qs["validation_approval"](spark, SF001).collect():
+        mine = [x for x in rows if x[r.group] == r.level]
+        assert r.n == len(mine)
+        assert abs(r.Approval_Rate - 100 * sum(x.p_default < 0.65 for x in mine) / r.n) < 1e-6
