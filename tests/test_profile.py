@@ -80,6 +80,12 @@ def test_adverse_action_withholds_protected(spark):
     assert got["CODE_GENDER_M"] == (None, False)
     assert got["EXT_SOURCE_3"] == ("Low external credit score", True)
     assert got["OTHER"] == (None, True)
+    coded = spark.createDataFrame([("NAME_EDUCATION_TYPE_Lower", 0.2), ("EXT_SOURCE_1_missing", 0.3)],
+                                  "Feature string, Coefficient double")
+    got = {r.Feature: r.Reason for r in fairness.adverse_action_map(
+        coded, spark, sources={"NAME_EDUCATION_TYPE_Lower": "NAME_EDUCATION_TYPE"}).collect()}
+    assert got == {"NAME_EDUCATION_TYPE_Lower": "Education level associated with higher risk",
+                   "EXT_SOURCE_1_missing": None}
 
 
 def test_approval_by_group_directions(spark):
