@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 
 from creditlens.llm.textnum import mix, word_bounds, word_hashes
 
-BINS = 2048
+BINS = 1024
 SHARES = 9
 MAX_POSITIVE = 3000
-MAX_UNLABELLED = 6000
+MAX_UNLABELLED = 8000
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 CUT = 0.3  # fixed by the contract
 
@@ -56,7 +56,7 @@ def features(text: str | None) -> np.ndarray:
     if n >= 3:
         b = raw.astype(np.uint32)
         key = ((b[:-2] << 16) | (b[1:-1] << 8) | b[2:]) * np.uint32(2654435761)
-        out[:BINS] = np.sqrt(np.bincount(key >> np.uint32(21), minlength=BINS) / (n - 2))
+        out[:BINS] = np.sqrt(np.bincount(key >> np.uint32(22), minlength=BINS) / (n - 2))
     words = word_hashes(raw)
     if len(words):
         start, end = word_bounds(raw)
@@ -75,7 +75,7 @@ def features(text: str | None) -> np.ndarray:
     return out
 
 
-assert BINS == 1 << 11  # the trigram hash keeps 11 bits
+assert BINS == 1 << 10  # the trigram hash keeps 10 bits
 
 
 def sample(df: DataFrame, doc_id: str, text: str, bound: int, salt: str) -> np.ndarray:
