@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditlens.llm.common import table, words_column
+from creditlens.operators.joins import checked_broadcast
 
 MIN_WORDS = 50            # fixed by the contract
 MAX_REPEAT_PERCENT = 50   # fixed by the contract
@@ -131,28 +132,46 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         *[F.max(F.when(F.col("metric") == m, F.col("fence"))).alias(f"f_{m}") for m in METRICS])
 
 
-def judge(docs: DataFrame, materialise, text: str = "text") -> DataFrame:
-    """docs(.., text, lang, source) -> the materialised columns and ``kept``.
-
-    ``materialise`` writes the metric table once (it is read for the sketch
-    and again for the verdict) and may drop the text.
-    """
-    m = materialise(with_metrics(docs, text))
-    t = thresholds(sketches(m)).withColumnsRenamed({"lang": "_tl", "source": "_ts"})
+def verdict(metrics: DataFrame, limits: DataFrame) -> DataFrame:
+    """``metrics`` and ``kept``: false if the base rules fail or a metric is above its group's fence."""
+    # one row per group; counted before it is broadcast, so the documents are not shuffled
+    t = checked_broadcast(limits.withColumnsRenamed({"lang": "_tl", "source": "_ts"}))
     above = None
     for name in METRICS:
         term = F.coalesce(F.col(name) > F.col(f"f_{name}"), F.lit(False))
         above = term if above is None else above | term
-    joined = m.join(t, m["lang"].eqNullSafe(F.col("_tl")) & m["source"].eqNullSafe(F.col("_ts")), "left")
+    joined = metrics.join(t, metrics["lang"].eqNullSafe(F.col("_tl")) & metrics["source"].eqNullSafe(F.col("_ts")),
+                          "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~above).drop(
         "_tl", "_ts", *[f"f_{x}" for x in METRICS])
 
 
+def judge(docs: DataFrame) -> DataFrame:
+    """docs(.., text, lang, source) -> its columns without the text, the metrics and ``kept``.
+
+    The narrow metric table is written once: it is read for the sketch and
+    again for the verdict.
+    """
+    m = table(with_metrics(docs).drop("text"), "quality")
+    return verdict(m, thresholds(sketches(m)))
+
+
 def apply_rules(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rejected rows; all columns, whatever their names, pass through."""
+    """``docs`` without the rejected rows; all columns, whatever their names, pass through.
+
+    One pass measures every text for the fences (a narrow table is written);
+    the second pass measures again and filters, so no text is written twice
+    or shuffled.
+    """
+    m = table(with_metrics(docs.select("text", "lang", "source")).drop("text"), "quality")
+    limits = thresholds(sketches(m))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).select(
         "_row", F.col("_row.lang").alias("lang"), F.col("_row.source").alias("source"))
-    return judge(packed, lambda df: table(df, "quality"), "_row.text").filter("kept").select("_row.*")
+    judged = verdict(with_metrics(packed, "_row.text"), limits)
+    # a plain filter would be pushed down and write the measuring expressions out once per use;
+    # exploding an empty array drops a row after they are evaluated once
+    return judged.withColumn("_keep", F.explode(F.expr("IF(kept, array(1), cast(array() as array<int>))"))) \
+        .select("_row.*")
 
 
 ORACLE_SQL = r"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from creditlens.llm import (
     classifier, embeddings, formatting, jaccard, mixing, pieces, quality, repeats, secret_scan, tokencounts,
 )
-from creditlens.llm.common import read, ship, table
+from creditlens.llm.common import read, ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,7 +55,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_rules", quality.ORACLE_QUERY)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    out = quality.judge(docs, lambda df: table(df.drop("text"), "quality"))
+    out = quality.judge(docs)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
 
