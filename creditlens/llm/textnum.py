@@ -12,6 +12,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INV = pow(_BASE, -1, 1 << 64)
 _GROWN: dict[int, np.ndarray] = {}
 _STEP = np.uint64(0xD1342543DE82EF95)
+_PLACES: list = [_STEP]
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -60,13 +61,21 @@ def lower_ascii(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw.lower(), np.uint8)
 
 
+def place(i: int) -> np.uint64:
+    """Odd factor of the i-th word of a run."""
+    while len(_PLACES) <= i:
+        _PLACES.append(mix(np.array(_PLACES[-1:], np.uint64))[0] | np.uint64(1))
+    return _PLACES[i]
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``k`` words; fewer words make one run, none no run."""
     n = len(words)
     if n == 0:
         return words
     size = min(k, n)
-    out = np.zeros(n - size + 1, np.uint64)
-    for i in range(size):
-        out = mix(out + words[i:n - size + 1 + i] * _STEP + np.uint64(i + 1))
+    # the words are mixed hashes, so a sum with odd factors by place keeps order and content
+    out = words[:n - size + 1] * _PLACES[0]
+    for i in range(1, size):
+        out += words[i:n - size + 1 + i] * place(i)
     return np.unique(mix(out + np.uint64(size)))
