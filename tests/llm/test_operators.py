@@ -256,17 +256,23 @@ def test_quality_sketch_error():
         assert low <= v and v - low <= v / 32
 
 
-def test_classifier_risk_is_not_negative():
-    rng = np.random.default_rng(0)
+def test_classifier_separates_from_positives_and_unlabelled():
+    """Over several draws: nearly all unlabelled positives above, nearly all negatives below, and in rank order."""
+    above, below = [], []
     k = classifier.BINS + classifier.SHARES
-    p = np.zeros((200, k), np.float32)
-    u = np.zeros((400, k), np.float32)
-    p[:, 0] = rng.normal(1, 0.3, 200)
-    u[:300, 0] = rng.normal(1, 0.3, 300)
-    u[300:, 0] = rng.normal(-1, 0.3, 100)
-    m = classifier.fit(p, u, 0.75)
-    z = u @ m["w"] + m["b"]
-    assert (z[:300] > 0).mean() > 0.95 and (z[300:] < 0).mean() > 0.95
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        p = np.zeros((200, k), np.float32)
+        u = np.zeros((400, k), np.float32)
+        p[:, 0] = rng.normal(1, 0.3, 200)
+        u[:300, 0] = rng.normal(1, 0.3, 300)
+        u[300:, 0] = rng.normal(-1, 0.3, 100)
+        m = classifier.fit(p, u, 0.75)
+        z = u @ m["w"] + m["b"]
+        above.append((z[:300] > 0).mean())
+        below.append((z[300:] < 0).mean())
+        assert z[:300].min() > z[300:].max()
+    assert np.mean(above) > 0.95 and np.mean(below) > 0.95
 
 
 def test_pipeline_stages(spark, tmp_path):
@@ -285,7 +291,7 @@ def test_pipeline_stages(spark, tmp_path):
             assert out.columns == docs.columns
         docs = frames[name][1]
     before, after = frames["quality_rules"]
-    kept = {r.doc_id for r in quality.judge(before.drop("kept", "size", "id"), lambda d: d).filter("kept").collect()}
+    kept = {r.doc_id for r in quality.judge(before.drop("kept", "size", "id")).filter("kept").collect()}
     assert {r.doc_id for r in after.collect()} == kept
     before, after = frames["near_duplicates"]
     comp = jaccard.join(before).collect()
@@ -317,4 +323,4 @@ def test_repeated_rows_and_null_ids(spark):
         == [(0, 0), (1, 1), (1, 1), (2, 1)]
     cut = sorted((r.doc_id or 0, r.n_removed) for r in repeats.digest(repeats.remove_repeats(df)).collect())
     assert cut == [(0, 0), (1, 0), (1, 0), (2, len(text))]
-    assert mixing.mix(df).count() == 4 and quality.judge(df, lambda d: d).count() == 4
+    assert mixing.mix(df).count() == 4 and quality.judge(df).count() == 4
