@@ -122,8 +122,8 @@ def q_feature_set_comparison(spark, sf):
 
 @query("tune_grid")
 def q_tune_grid(spark, sf):
-    """M9: glmnet-style grid (alpha x penalty) on a 5,000-row sample, with and without SMOTE."""
-    return training.tuned_grid(spark, sf, tune_length=3)
+    """M9: glmnet-style 20 x 20 grid (alpha x penalty) on a 5,000-row sample, with and without SMOTE."""
+    return training.tuned_grid(spark, sf)
 
 
 @query("final_fit")

@@ -12,13 +12,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.operators import modeling, sampling
+from creditlens.operators import modeling, penalty_path, sampling
 from creditlens.operators.modeling import ID, LABEL
 from creditlens.operators.smote import smote
 from creditlens.plans import feature_matrix as fm
@@ -166,6 +168,35 @@ def cv_auc_arms(arms: dict[str, list], points: list[tuple[float, float]]) -> dic
     return {key: sum(v) / len(v) for key, v in out.items()}
 
 
+SAMPLE_ROWS = 5_000  # rows of the reference's tuning sample
+
+
+def path_auc_arms(arms: dict[str, list], points: list[tuple[float, float]]) -> dict:
+    """``cv_auc_arms`` with one Spark task per (arm, fold, alpha), which fits that penalty path.
+
+    For a bounded sample only: the folds' design rows go to every executor.
+    """
+    spark = next(iter(arms.values()))[0][0].sparkSession
+
+    def arrays(x: DataFrame) -> tuple:
+        rows = x.select(vector_to_array("features").alias("x"), F.col(LABEL).cast("double").alias("y")).toPandas()
+        return np.array(rows["x"].tolist()), rows["y"].to_numpy()
+
+    folds = [(arm, *d) for arm, designs in arms.items() for d in designs]
+    data = spark.sparkContext.broadcast(_parallel(lambda f: (arrays(f[1]), arrays(f[2])), folds))
+    alphas = list(dict.fromkeys(a for _, a in points))
+    regs = {a: [r for r, b in points if b == a] for a in alphas}
+    tasks = [(i, a) for i in range(len(folds)) for a in alphas]
+    got = spark.sparkContext.parallelize(tasks, len(tasks)).map(
+        lambda t: (*t, penalty_path.path_aucs(*data.value[t[0]], regs[t[1]], t[1]))).collect()
+    data.destroy()
+    out: dict = {}
+    for i, a, aucs in got:
+        for reg, v in zip(regs[a], aucs):
+            out.setdefault((folds[i][0], (reg, a)), []).append(v)
+    return {key: sum(v) / len(v) for key, v in out.items()}
+
+
 def cv_auc_grid(designs: list, points: list[tuple[float, float]]) -> dict:
     """Mean of per-fold AUCs for each grid point of one set of fold designs."""
     return {p: a for (_, p), a in cv_auc_arms({"_": designs}, points).items()}
@@ -178,7 +209,7 @@ def cv_auc(df: DataFrame, numeric, categorical, reg: float, alpha: float, k: int
     return cv_auc_grid(designs, [(reg, alpha)])[(reg, alpha)]
 
 
-def tune_grid(spark: SparkSession, df: DataFrame, numeric, categorical, tune_length: int = 3,
+def tune_grid(spark: SparkSession, df: DataFrame, numeric, categorical, tune_length: int = 20,
               k: int = 3, seed: int = 42) -> DataFrame:
     """M9: grid search on a seeded sample, without and with SMOTE."""
     df = df.persist()
@@ -187,18 +218,19 @@ def tune_grid(spark: SparkSession, df: DataFrame, numeric, categorical, tune_len
     arms = {"none": plain,
             "smote": _parallel(lambda fd: (smoted(fd[1][0], seed + fd[0]), fd[1][1]),
                                list(enumerate(plain, 1)))}
-    res = cv_auc_arms(arms, points)  # both arms' fits go to the pool together
+    # a bounded sample: a task fits a whole penalty path; a larger frame: a Spark job per fit
+    res = (path_auc_arms if df.count() <= SAMPLE_ROWS else cv_auc_arms)(arms, points)
     rows = [(arm, reg, alpha, res[(arm, (reg, alpha))]) for arm in arms for reg, alpha in points]
     return spark.createDataFrame(rows, "sampling string, regParam double, elasticNetParam double, cv_auc double")
 
 
-def tuned_grid(spark: SparkSession, sf: str, tune_length: int = 3, seed: int = 42) -> DataFrame:
+def tuned_grid(spark: SparkSession, sf: str, tune_length: int = 20, seed: int = 42) -> DataFrame:
     """M9 on the 5,000-row seeded sample of the training matrix (computed once per session)."""
     key = ("grid", sf, tune_length, seed, spark.sparkContext.applicationId)
     if key not in _CACHE:
         train = feature_build(spark, sf).train
         num, cat = modeling.feature_columns(train)
-        sample = sampling.sample_n(train, ID, 5000, seed)
+        sample = sampling.sample_n(train, ID, SAMPLE_ROWS, seed)
         _CACHE[key] = tune_grid(spark, sample, num, cat, tune_length, 3, seed).persist()
     return _CACHE[key]
 
@@ -266,7 +298,7 @@ def save_artifacts(spark: SparkSession, sf: str, root: str, ff: FinalFit) -> dic
     return paths
 
 
-def final_fit(spark: SparkSession, sf: str, tune_length: int = 3, seed: int = 42,
+def final_fit(spark: SparkSession, sf: str, tune_length: int = 20, seed: int = 42,
               exclude: tuple[str, ...] = ()) -> FinalFit:
     """M10 + Q3: tuned point, 5-fold SMOTE CV AUC, then a fit on the 80 % training
     part only (the validation rows stay out of training).
