@@ -77,7 +77,7 @@ def q_fit_logistic(spark, sf):
 
 @query("fit_lasso_cv")
 def q_fit_lasso_cv(spark, sf):
-    """M4: L1 logistic regression, penalty chosen by inner 3-fold CV on log-loss."""
+    """M4: L1 logistic regression, penalty chosen by inner 10-fold CV on log-loss."""
     train, num, cat = _folds(spark, sf)
     return modeling.cv_lasso(train, num, cat).coefficients(spark)
 

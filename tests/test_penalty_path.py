@@ -50,3 +50,17 @@ def test_grid_of_paths_agrees_with_fits(spark):
     one, other = training.path_auc_arms(arms, points), training.cv_auc_arms(arms, points)
     assert set(one) == set(other)
     assert all(abs(one[k] - other[k]) < 2e-3 for k in one)
+
+
+def test_lasso_path_comes_from_the_data(spark):
+    defaults = inspect.signature(modeling.cv_lasso).parameters
+    assert (defaults["n_lambda"].default, defaults["inner_folds"].default) == (100, 10)
+    df = _design(spark).select("SK_ID_CURR", "TARGET", *[vector_to_array("features")[j].alias(f"x{j}") for j in range(6)])
+    names = [f"x{j}" for j in range(6)]
+    got = df.collect()
+    x, y = np.array([[r[c] for c in names] for r in got]), np.array([float(r.TARGET) for r in got])
+    z, _, _ = penalty_path.standardised(x)
+    m = modeling.cv_lasso(df, names, [], n_lambda=8, inner_folds=3)
+    hi = np.max(np.abs(z.T @ (y - y.mean()))) / len(y)
+    assert min(abs(m.model.stages[-1].getRegParam() / r - 1) for r in modeling.lambda_grid(8, hi, 1e-4)) < 1e-9
+    assert m.nonzero() > 0
