@@ -147,7 +147,7 @@ def q_target_corr_augmented(spark, sf):
     return profile.target_corr(train, "TARGET", columns.numeric_columns(train, exclude=["TARGET", "SK_ID_CURR"]))
 
 
-_BOX_AUG = ["AMT_CREDIT_SUM", "NUM_REFUSED", "DAYS_LATE_MEAN", "AMT_BALANCE_MEAN"]
+_BOX_AUG = ["AMT_CREDIT_SUM", "NUM_REFUSED", "DAYS_LATE_MEAN", "AMT_BALANCE_MEAN", "MONTHS_BUREAU_MEAN"]
 
 
 @query("box_stats_augmented", with_fixtures(["train", *_AUG_TABLES], rounded(
