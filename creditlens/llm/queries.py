@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditlens.llm import (
-    classifier, embeddings, formatting, jaccard, mixing, pieces, quality, repeats, secret_scan, tokencounts,
+    classifier, embeddings, formatting, jaccard, licenses, mixing, periodic, pieces, quality, repair, repeats, secret_scan,
+    tokencounts,
 )
 from creditlens.llm.common import read, ship
 
@@ -93,3 +94,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_repeated_bytes")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(read(spark, sf_dir, "documents")))
+
+
+@query("op11_periodic_runs", periodic.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.detect(read(spark, sf_dir, "documents"), planted=True))
+
+
+@query("op12_conversation_repair", repair.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(read(spark, sf_dir, "conversations")))
+
+
+@query("op13_license_scan", licenses.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
