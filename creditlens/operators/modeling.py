@@ -15,7 +15,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditlens.operators import penalty_path, sampling
+from creditlens.operators import lockstep, sampling
 from creditlens.session import checkpoint_dir
 
 ID, LABEL = "SK_ID_CURR", "TARGET"
@@ -204,107 +203,38 @@ def design_rows(x: DataFrame, cols: Sequence[str] = ("features", LABEL)) -> Data
     return right_size(x.select(*cols)).checkpoint()
 
 
-BLOCK_ROWS = 4_096
-
-
-def _blocks(x: DataFrame):
-    """Cached RDD of (rows x (features, 1), labels, folds) arrays of a design frame with a fold column."""
-    def run(rows):
-        held = []
-        for r in rows:
-            held.append(r)
-            if len(held) == BLOCK_ROWS:
-                yield pack(held)
-                held = []
-        if held:
-            yield pack(held)
-
-    def pack(held):
-        return (np.array([[*r[0].toArray(), 1.0] for r in held]), np.array([float(r[1]) for r in held]),
-                np.array([r[2] for r in held]))
-
-    return x.select("features", LABEL, "fold").rdd.mapPartitions(run).persist()
-
-
-def _add(a, b):
-    return tuple(u + v for u, v in zip(a, b))
-
-
-def penalties(x, n: int) -> list[float]:
-    """glmnet's path over ``_blocks``: from the least penalty that zeroes every coefficient down to 0.0001 of it."""
-    def run(b):
-        f, y = b[0][:, :-1], b[1]
-        return len(y), y.sum(), f.sum(axis=0), (f * f).sum(axis=0), f.T @ y
-
-    rows, pos, s, s2, sy = x.map(run).treeReduce(_add)
-    mean, scale = _moments(rows, s, s2)
-    hi = float(np.max(np.abs(sy - mean * pos) / scale) / rows)  # standardised gradient at zero
-    return lambda_grid(n, hi, 1e-4 if rows >= len(s) else 1e-2)
-
-
-def _moments(rows, s, s2):
-    mean = s / rows
-    var = (s2 - rows * mean * mean) / max(rows - 1, 1)
-    # a column constant in these rows has no spread: it is left out by an infinite scale
-    return mean, np.where(var > 1e-12 * np.maximum(1.0, mean * mean), np.sqrt(np.maximum(var, 0.0)), np.inf)
-
-
-def _held_out_loss(x, fold: int, regs: list[float]) -> np.ndarray:
-    """Summed log-loss on a fold's rows per penalty, fitted by Spark aggregates on the other rows."""
-    def rest(b):
-        m = b[2] != fold
-        return b[0][m], b[1][m]
-
-    def first(b):
-        f, y = rest(b)
-        f = f[:, :-1]
-        return len(y), y.sum(), f.sum(axis=0), (f * f).sum(axis=0)
-
-    rows, pos, s, s2 = x.map(first).treeReduce(_add)
-    mean, scale = _moments(rows, s, s2)
-
-    def scaled(f):
-        return np.column_stack([(f[:, :-1] - mean) / scale, f[:, -1]])
-
-    def stats(at):
-        def run(b):
-            f, y = rest(b)
-            return penalty_path.sums(scaled(f), y, at)
-        return tuple(v / rows for v in x.map(run).treeReduce(_add))
-
-    coef = np.array(list(penalty_path.path(stats, len(s), pos / rows, regs, 1.0))).T
-
-    def loss(b):
-        m = b[2] == fold
-        eta = scaled(b[0][m]) @ coef
-        return (np.sum(np.logaddexp(0.0, eta) - b[1][m][:, None] * eta, axis=0),)
-
-    return x.map(loss).treeReduce(_add)[0]
-
-
 def cv_lasso(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], n_lambda: int = 100,
-             inner_folds: int = 10, seed: int = 42, parallelism: int = 8,
-             full_first: bool = True) -> FittedModel:
+             inner_folds: int = 10, seed: int = 42, full_first: bool = True) -> FittedModel:
     """M4: L1 logistic regression with the penalty chosen by inner cross validation.
 
     As ``cv.glmnet``: one penalty path from the data, ``lambda.min`` by the
     held-out binomial deviance (log-loss over all rows, the larger penalty on
-    ties).  Each fold's path takes Newton steps from Spark aggregates.
+    ties).  All folds' paths and the whole rows' path move in lockstep
+    (``lockstep``); the chosen penalty's model is a Spark ML fit.
     """
     df = right_size(df)
     levels, modes = training_levels(df, categorical)
     design_model = Pipeline(stages=design_pipeline(numeric, categorical, full_first)).fit(df)
     x = design_rows(design_model.transform(df), (ID, "features", LABEL))
-    blocks = _blocks(sampling.kfold_assign(x, ID, inner_folds, seed))
-    regs = penalties(blocks, n_lambda)
-    with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        loss = sum(ex.map(lambda f: _held_out_loss(blocks, f, regs), range(1, inner_folds + 1)))
-    blocks.unpersist()
-    best = logistic(regs[int(np.argmin(loss))], 1.0).fit(x)
+    regs = best_penalty(sampling.kfold_assign(x, ID, inner_folds, seed), inner_folds, n_lambda)
+    best = logistic(regs, 1.0).fit(x)
     model = PipelineModel(stages=design_model.stages + [best])
     return FittedModel(model, list(numeric), list(categorical), levels, modes)
 
 
+def best_penalty(folded: DataFrame, folds: int, n_lambda: int = 100) -> float:
+    """The path's penalty with the least held-out log-loss over design rows with a ``fold`` column 1..folds."""
+    every = set(range(1, folds + 1))
+    blocks = lockstep.pack(folded, LABEL, "fold")
+    fit = lockstep.Lockstep(blocks, [lockstep.Group(every, set(), [])]
+                            + [lockstep.Group(every - {f}, {f}, []) for f in sorted(every)])
+    regs = fit.path(0, n_lambda)
+    for g in fit.groups:
+        g.points = [(r, 1.0) for r in regs]
+    fit.fit()
+    return regs[int(np.argmin(fit.held_out_loss()))]
+
+
 def save(model: FittedModel, path: str) -> None:
     """The fitted pipeline is written with Spark ML's own persistence."""
     model.model.write().overwrite().save(path)

@@ -145,30 +145,9 @@ def path(stats: Callable, width: int, share: float, penalties: Sequence[float],
         yield b.copy()
 
 
-def mid_rank_auc(score: np.ndarray, y: np.ndarray) -> float:
-    """Exact ROC AUC; ties count half."""
-    _, inv, n = np.unique(score, return_inverse=True, return_counts=True)
-    rank = (np.cumsum(n) - (n - 1) / 2.0)[inv]
-    pos = float(y.sum())
-    return float((rank[y == 1].sum() - pos * (pos + 1) / 2) / (pos * (len(y) - pos)))
-
-
 def standardised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(centred and scaled features, means, scales); a constant column becomes 0 (scale 1)."""
     mean, scale = x.mean(axis=0), x.std(axis=0, ddof=1)
     flat = ~(scale > 1e-12)
     scale = np.where(flat, 1.0, scale)
     return np.where(flat, 0.0, (x - mean) / scale), mean, scale
-
-
-def path_aucs(train: tuple, test: tuple, penalties: Sequence[float], alpha: float) -> list[float]:
-    """AUC on ``test`` (features, labels) per penalty of the path fitted on ``train``."""
-    x, mean, scale = standardised(train[0])
-    y = train[1]
-    x_te = (test[0] - mean) / scale
-    order = sorted(range(len(penalties)), key=lambda i: -penalties[i])
-    out = [0.0] * len(penalties)
-    for i, b in zip(order, path(array_stats(x, y), x.shape[1], float(y.mean()),
-                                [penalties[i] for i in order], alpha)):
-        out[i] = mid_rank_auc(x_te @ b[:-1], test[1])
-    return out

@@ -15,12 +15,11 @@ from functools import reduce
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditlens.operators import modeling, penalty_path, sampling
+from creditlens.operators import lockstep, modeling, sampling
 from creditlens.operators.modeling import ID, LABEL
 from creditlens.operators.smote import smote
 from creditlens.plans import feature_matrix as fm
@@ -104,10 +103,20 @@ def model_comparison(spark: SparkSession, oof: DataFrame, n_pred: dict) -> DataF
     return spark.createDataFrame(rows, "Model string, CV_AUC double, Num_Predictors long")
 
 
-def grid_points(tune_length: int) -> list[tuple[float, float]]:
-    """caret-style glmnet grid: alpha in [0.1, 1] x a penalty path, ``tune_length`` each."""
-    alphas = [0.1 + 0.9 * i / max(tune_length - 1, 1) for i in range(tune_length)]
-    return [(lam, a) for a in alphas for lam in modeling.lambda_grid(tune_length)]
+GRID_ALPHA = 0.5  # the grid's penalties are those of the path at this mixture
+
+
+def grid_points(penalties: list[float]) -> list[tuple[float, float]]:
+    """caret's grid: every penalty at as many mixtures from 0.1 to 1, as (penalty, alpha)."""
+    n = len(penalties)
+    return [(lam, 0.1 + 0.9 * i / max(n - 1, 1)) for i in range(n) for lam in penalties]
+
+
+def grid_penalties(df: DataFrame, numeric, categorical, tune_length: int) -> list[float]:
+    """``tune_length`` penalties of the data: the path of ``tune_length + 2`` at GRID_ALPHA without its ends."""
+    design, _, _ = _design(df, numeric, categorical)
+    blocks = lockstep.pack(design.transform(df).withColumn("tag", F.lit(0)), LABEL, "tag")
+    return lockstep.Lockstep(blocks, [lockstep.Group({0}, set(), [])]).path(0, tune_length + 2, GRID_ALPHA)[1:-1]
 
 
 def _design(train_part: DataFrame, numeric, categorical):
@@ -150,78 +159,69 @@ def plain_fold_designs(df: DataFrame, numeric, categorical, k: int, seed: int) -
     return _parallel(one, list(range(1, k + 1)))
 
 
-def cv_auc_arms(arms: dict[str, list], points: list[tuple[float, float]]) -> dict:
-    """Mean of per-fold AUCs (caret's resampled ROC) per (arm, grid point).
-
-    Every (arm, point, fold) fit is an independent Spark job; all of them go
-    to one pool.
-    """
-    def one(task):
-        arm, (reg, alpha), (x_tr, x_te) = task
-        lr = modeling.logistic(reg, alpha).fit(x_tr)
-        return (arm, (reg, alpha)), auc_of(modeling.with_probability(lr.transform(x_te)))
-
-    got = _parallel(one, [(arm, p, d) for arm, designs in arms.items() for p in points for d in designs])
-    out: dict = {}
-    for key, a in got:
-        out.setdefault(key, []).append(a)
-    return {key: sum(v) / len(v) for key, v in out.items()}
-
-
-SAMPLE_ROWS = 5_000  # rows of the reference's tuning sample
-
-
-def path_auc_arms(arms: dict[str, list], points: list[tuple[float, float]]) -> dict:
-    """``cv_auc_arms`` with one Spark task per (arm, fold, alpha), which fits that penalty path.
+def resample(arms: dict[str, list], points: list[tuple[float, float]]) -> dict:
+    """{arm: (folds, points, 3) array of ROC, Sens and Spec} of every grid point on every fold.
 
-    For a bounded sample only: the folds' design rows go to every executor.
+    All fits of all folds and arms move in lockstep; each fold's scores are
+    merged histograms.  Tags are even for training and odd for evaluation rows.
     """
-    spark = next(iter(arms.values()))[0][0].sparkSession
-
-    def arrays(x: DataFrame) -> tuple:
-        rows = x.select(vector_to_array("features").alias("x"), F.col(LABEL).cast("double").alias("y")).toPandas()
-        return np.array(rows["x"].tolist()), rows["y"].to_numpy()
+    keys = [(arm, f) for arm, designs in arms.items() for f in range(len(designs))]
+    fits = {}
+    # folds have their own design columns (levels), so every fold is packed by itself
+    for arm, f in keys:
+        x_tr, x_te = arms[arm][f]
+        both = x_tr.select("features", LABEL, F.lit(0).alias("tag")) \
+            .unionByName(x_te.select("features", LABEL, F.lit(1).alias("tag")))
+        fits[arm, f] = both
 
-    folds = [(arm, *d) for arm, designs in arms.items() for d in designs]
-    data = spark.sparkContext.broadcast(_parallel(lambda f: (arrays(f[1]), arrays(f[2])), folds))
-    alphas = list(dict.fromkeys(a for _, a in points))
-    regs = {a: [r for r, b in points if b == a] for a in alphas}
-    tasks = [(i, a) for i in range(len(folds)) for a in alphas]
-    got = spark.sparkContext.parallelize(tasks, len(tasks)).map(
-        lambda t: (*t, penalty_path.path_aucs(*data.value[t[0]], regs[t[1]], t[1]))).collect()
-    data.destroy()
-    out: dict = {}
-    for i, a, aucs in got:
-        for reg, v in zip(regs[a], aucs):
-            out.setdefault((folds[i][0], (reg, a)), []).append(v)
-    return {key: sum(v) / len(v) for key, v in out.items()}
+    def one(key):
+        fit = lockstep.Lockstep(lockstep.pack(fits[key], LABEL, "tag"), [lockstep.Group({0}, {1}, list(points))])
+        fit.fit()
+        return np.stack(lockstep.resampled(fit.score_histograms()[0]), axis=1)
 
-
-def cv_auc_grid(designs: list, points: list[tuple[float, float]]) -> dict:
-    """Mean of per-fold AUCs for each grid point of one set of fold designs."""
-    return {p: a for (_, p), a in cv_auc_arms({"_": designs}, points).items()}
+    got = dict(zip(keys, _parallel(one, keys)))
+    return {arm: np.stack([got[arm, f] for f in range(len(designs))]) for arm, designs in arms.items()}
 
 
 def cv_auc(df: DataFrame, numeric, categorical, reg: float, alpha: float, k: int, seed: int,
            use_smote: bool) -> float:
     """Mean of per-fold AUCs for one grid point."""
     designs = fold_designs(df, numeric, categorical, k, seed, use_smote)
-    return cv_auc_grid(designs, [(reg, alpha)])[(reg, alpha)]
+    return float(resample({"_": designs}, [(reg, alpha)])["_"][:, 0, 0].mean())
+
+
+GRID_SCHEMA = ("sampling string, regParam double, elasticNetParam double, cv_auc double, Sens double, Spec double, "
+               "ROCSD double, SensSD double, SpecSD double")
 
 
 def tune_grid(spark: SparkSession, df: DataFrame, numeric, categorical, tune_length: int = 20,
               k: int = 3, seed: int = 42) -> DataFrame:
-    """M9: grid search on a seeded sample, without and with SMOTE."""
+    """Mean and standard deviation over folds of ROC (``cv_auc``), Sens and Spec per grid point,
+    without and with SMOTE."""
     df = df.persist()
-    points = grid_points(tune_length)
+    points = grid_points(grid_penalties(df, numeric, categorical, tune_length))
     plain = plain_fold_designs(df, numeric, categorical, k, seed)  # shared by both arms
     arms = {"none": plain,
             "smote": _parallel(lambda fd: (smoted(fd[1][0], seed + fd[0]), fd[1][1]),
                                list(enumerate(plain, 1)))}
-    # a bounded sample: a task fits a whole penalty path; a larger frame: a Spark job per fit
-    res = (path_auc_arms if df.count() <= SAMPLE_ROWS else cv_auc_arms)(arms, points)
-    rows = [(arm, reg, alpha, res[(arm, (reg, alpha))]) for arm in arms for reg, alpha in points]
-    return spark.createDataFrame(rows, "sampling string, regParam double, elasticNetParam double, cv_auc double")
+    rows = []
+    for arm, got in resample(arms, points).items():
+        mean, sd = got.mean(axis=0), got.std(axis=0, ddof=1) if k > 1 else np.zeros(got.shape[1:])
+        rows += [(arm, reg, alpha, *map(float, (*m, *s))) for (reg, alpha), m, s in zip(points, mean, sd)]
+    df.unpersist()
+    return spark.createDataFrame(rows, GRID_SCHEMA)
+
+
+def tune_comparison(grid: DataFrame) -> DataFrame:
+    """Best cross-validated AUC of each tuning arm; ``best`` marks the larger (both on a tie)."""
+    top = grid.groupBy("sampling").agg(F.max("cv_auc").alias("CV_AUC"))
+    most = F.max("CV_AUC").over(Window.partitionBy(F.lit(1)))  # over one row per arm
+    return top.select(
+        F.when(F.col("sampling") == "smote", "LASSO (SMOTE)").otherwise("LASSO (No Sampling)").alias("Model"),
+        "CV_AUC", (F.col("CV_AUC") == most).alias("best"))
+
+
+SAMPLE_ROWS = 5_000  # rows of the reference's tuning sample
 
 
 def tuned_grid(spark: SparkSession, sf: str, tune_length: int = 20, seed: int = 42) -> DataFrame:
