@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from creditlens.operators.smote import _nearest, _neighbours, smote
+from creditlens.operators.smote import _nearest, _neighbours, copies_per_vector, smote
 
 
 def _exact(x, k):
@@ -31,6 +31,28 @@ def test_neighbours_are_exact(spark, n):
     assert _sets(nn.collect()) == _exact(z, 5)
 
 
+@pytest.mark.parametrize("n", [400, 2500])
+@pytest.mark.parametrize("pivot_rows,block_rows", [(16, 50), (64, 2_000)])
+def test_pruned_join_equals_brute_force(spark, n, pivot_rows, block_rows):
+    """Whole neighbour lists, ties by id, on clustered data with equal distances; few copies."""
+    rng = np.random.default_rng(n)
+    x = np.round(8 * rng.normal(size=(n, 4)) + 320 * rng.integers(0, 12, size=(n, 1))) / 8  # exact in binary
+    _, first = np.unique(x, axis=0, return_index=True)
+    x = x[np.sort(first)]
+    uniq = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)],
+                                 "_rep long, _dup long, _key array<double>")
+    best = {}
+    for r in _nearest(uniq, 5, block_rows, pivot_rows).collect():
+        best.setdefault(r["_nrep"], []).append((r["_d"], r["_b"]))
+    assert len(best) == len(x)
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        want = sorted((round(float(d[j]), 9), j) for j in range(len(x)) if j != i)[:5]
+        assert [(round(a, 9), b) for a, b in sorted(best[i])[:5]] == want
+    cost = copies_per_vector(uniq, 5, block_rows, pivot_rows).first()
+    assert cost["vectors"] == len(x) and cost["asking"] < cost["blocks"] * len(x) / 2
+
+
 def test_far_rows_change_nothing(spark):
     x = np.random.default_rng(1).normal(size=(100, 8))
     far = np.random.default_rng(2).normal(size=(150, 8)) + 1000
