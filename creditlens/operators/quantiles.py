@@ -23,6 +23,7 @@ ties go to the smallest level.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 
@@ -90,11 +91,94 @@ def quantile_frame(long: DataFrame, keys: Sequence[str], probs: Sequence[float])
     return got.select(*keys, "n", *out)
 
 
+SHIFTS = (44, 22)     # low bits left out by each round of buckets
+LEAF = 1 << 18        # values a bucket may hold when its distinct values are ranked
+
+
+def _with_key(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys, value and ``_key``: a long that orders like the value (its bits, those of negative values turned over)."""
+    v = long.select(*keys, (clean_value(F.col("value")) + F.lit(0.0)).alias("value")).where(F.col("value").isNotNull())
+    bits = F.expr("CAST(java_method('java.lang.Double', 'doubleToLongBits', value) AS BIGINT)")
+    return v.withColumn("_bits", bits).select(
+        *keys, "value", F.when(F.col("_bits") < 0, F.col("_bits").bitwiseXOR(F.lit((1 << 63) - 1)))
+        .otherwise(F.col("_bits")).alias("_key"))
+
+
+def _holding(counts: DataFrame, within: Sequence[str], by: str, probs: Sequence[float], n: str | None) -> DataFrame:
+    """Rows of ``counts(within, by, c)`` that hold a wanted rank, with ``n``, values ``_before`` and the ``_ranks``.
+
+    ``n`` and ``_start`` (values before the bucket that was split) are columns
+    of ``counts`` from the second round on.
+    """
+    before = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    first = n is None
+    total = F.sum("c").over(Window.partitionBy(*within)) if first else F.col("n")
+    start = F.lit(0) if first else F.col("_start")
+    placed = counts.withColumn("n", total) \
+        .withColumn("_before", F.coalesce(F.sum("c").over(before), F.lit(0)) + start)
+    h = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x) for x in h for f in (F.floor, F.ceil)]))
+    return placed.withColumn("_ranks", F.filter(ranks, lambda r: (r >= F.col("_before"))
+                                                & (r < F.col("_before") + F.col("c")))).where(F.size("_ranks") > 0)
+
+
 def long_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> dict[tuple, list]:
-    """``quantile_frame`` as ``{key_tuple: [q(p) ...]}``: for keys that are column names, one row each."""
+    """``quantile_frame`` as ``{key_tuple: [q(p) ...]}``, for keys that are column names (few).
+
+    Radix selection: one aggregate counts the values of every key by the
+    leading bits of an order-preserving key; only buckets that hold a wanted
+    rank are counted again by more bits, until they hold at most LEAF values,
+    whose distinct ones are ranked.  No value is written or shuffled beyond
+    these buckets' counts; the driver gets a row per key and rank.
+    """
     keys = list(keys)
-    return {tuple(r[k] for k in keys): [r[f"q{i}"] for i in range(len(probs))]
-            for r in quantile_frame(long, keys, probs).collect()}
+    spark = long.sparkSession
+    base = _with_key(long, keys)
+    kinds = [f"`{k}` {base.schema[k].dataType.simpleString()}" for k in keys]
+
+    def among(buckets: list) -> DataFrame:
+        """Values of the collected buckets; a row per bucket is broadcast."""
+        shift = buckets[0]["_shift"]
+        told = spark.createDataFrame(
+            [(*[r[k] for k in keys], r["_bucket"], r["n"], r["_before"]) for r in buckets],
+            ", ".join([*[k.replace("` ", "_o` ", 1) for k in kinds], "_bucket_o long", "n long", "_start long"]))
+        mine = base.withColumn("_bucket", F.shiftright("_key", shift))
+        return mine.join(F.broadcast(told), same_keys(mine, told, keys, "_o")
+                         & (mine["_bucket"] == told["_bucket_o"])) \
+            .select(*keys, F.col("_bucket").alias("_old"), "n", "_start", "value", "_key")
+
+    found = []
+    todo = None
+    for shift in SHIFTS:
+        rows = base if todo is None else among(todo)
+        held = [] if todo is None else ["_old", "n", "_start"]
+        counts = rows.groupBy(*keys, *held, F.shiftright("_key", shift).alias("_bucket")) \
+            .agg(F.count(F.lit(1)).alias("c"))
+        got = _holding(counts, [*keys, *held], "_bucket", probs, None if todo is None else "n") \
+            .select(*keys, "_bucket", "n", "_before", "c", F.lit(shift).alias("_shift")).collect()
+        found += [r for r in got if r["c"] <= LEAF]
+        todo = [r for r in got if r["c"] > LEAF]
+        if not todo:
+            break
+    values: dict = {}
+    for shift in SHIFTS:
+        leaves = [r for r in found if r["_shift"] == shift] + (todo if shift == SHIFTS[-1] else [])
+        if not leaves:
+            continue
+        counts = among(leaves).groupBy(*keys, "_old", "n", "_start", "value").agg(F.count(F.lit(1)).alias("c"))
+        for r in _holding(counts, [*keys, "_old", "n", "_start"], "value", probs, "n").collect():
+            one = values.setdefault(tuple(r[k] for k in keys), (r["n"], {}))
+            one[1].update({rank: r["value"] for rank in r["_ranks"]})
+    out = {}
+    for key, (n, at) in values.items():
+        line = []
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo, hi = at[math.floor(h)], at[math.ceil(h)]
+            frac = h - math.floor(h)
+            line.append(lo if frac == 0 or lo == hi else (1 - frac) * lo + frac * hi)
+        out[key] = line
+    return out
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
