@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.session import checkpoint_dir
+from creditlens.session import checkpoint_dir, ship  # noqa: F401  (operators import ship from here)
 
 # A word is a maximal run of code points outside ASCII white space (fixed by the contract).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -102,24 +102,3 @@ def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     free = thinned(docs, ids, "left_anti", key)
     hit = thinned(docs, ids, "left_semi", key)
     return free.unionByName(hit.join(ids.select(key).distinct(), key, "left_anti").select(*docs.columns))
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the executors' Python workers, once per Spark context."""
-    import os
-    import tempfile
-    import zipfile
-
-    sc = spark.sparkContext
-    if getattr(sc, "_creditlens_shipped", False):
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="creditlens-src-"), "creditlens_src.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-    sc._creditlens_shipped = True
