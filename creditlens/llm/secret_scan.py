@@ -45,6 +45,7 @@ BASE = ("assign", "access", "hex")
 # --- fixed values: the further kinds ---
 GHTOKEN = re.compile(r"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+JWT_PART = re.compile(r"[A-Za-z0-9_-]+")
 PRIVATE = re.compile(r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END ([A-Z]+ )?PRIVATE KEY-----")
 CARD = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])")
 CARD_HINT = re.compile(r"[0-9](?:[ -]?[0-9]){12}")
@@ -119,6 +120,8 @@ def scan(text: str, auto) -> list[Span]:
             free[kind] = m.end()
             if valid(m):
                 found.append((start, m.end(), kind))
+        elif kind == "jwt":  # its first part runs on to the same end from every keyword inside
+            free[kind] = JWT_PART.match(text, start).end()
     if HEX_HINT.search(text):
         found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text) if m.end() - m.start() >= HEX_MIN]
     if CARD_HINT.search(text):

@@ -12,13 +12,14 @@ totals and one inside each block.  No document and no list of lengths goes
 to the driver.
 
 Defined cases: NULL and empty texts have length 0; special-token strings in
-a text are ordinary text; repeated rows count each time; an empty table
+a text are ordinary text; white space of any length is counted; repeated rows count each time; an empty table
 gives an empty histogram; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,6 +33,8 @@ from creditlens.llm.common import table
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 BLOCK = 1024
+# Runs of white space (the pattern's class) too long for the pattern's look-ahead, which recurses
+LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 _encoders: dict = {}
 
@@ -47,6 +50,20 @@ def encoder(rank_bytes: bytes):
     return _encoders[key]
 
 
+def length(enc, text: str) -> int:
+    """Number of tokens of a text.
+
+    The pattern takes a run of white space as one piece, but for its last
+    place if a word follows; long runs are cut out there and merged directly.
+    """
+    n = at = 0
+    for m in LONG_SPACE.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        n += len(enc.encode_ordinary(text[at:m.start()])) + len(enc._encode_single_piece(text[m.start():end].encode()))
+        at = end
+    return n + len(enc.encode_ordinary(text[at:]))
+
+
 def count_tokens(docs: DataFrame, text: str = "text", ranks: str = RANKS) -> DataFrame:
     """Add ``n_tokens`` to every row; other columns but the text pass through.
 
@@ -62,7 +79,7 @@ def count_tokens(docs: DataFrame, text: str = "text", ranks: str = RANKS) -> Dat
         enc = encoder(vocabulary.value)
         for b in batches:
             out = b[rest].copy()
-            out["n_tokens"] = [len(enc.encode_ordinary(t)) if t else 0 for t in b[text]]
+            out["n_tokens"] = [length(enc, t) if t else 0 for t in b[text]]
             yield out
 
     return docs.select(*rest, text).mapInPandas(run, schema)
