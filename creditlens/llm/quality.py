@@ -1,14 +1,15 @@
 """Quality rules: adaptive thresholds from mergeable quantile sketches (DataFrame functions only).
 
-Every document gets integer metrics (per 1,000 words or characters).  A
-log-linear histogram -- 32 buckets per power of two, relative width 1/32 --
-is a mergeable quantile sketch: counts by (language, source, metric, bucket)
-add up, are pre-aggregated before the shuffle, and their number per group is
-bounded by the bucket scheme.  Upper fences come from the sketch:
-``q50 + reach * max(q75 - q50, floor)``; a group with fewer than
-``min_docs`` documents uses the sketch merged over its language, and a
-language with fewer uses the one merged over everything.  A document above
-any fence of its group is rejected.
+Every document gets integer metrics (per million words or characters; one
+symbol or exclamation mark alone is no rate).  A log-linear histogram -- 32
+buckets per power of two, relative width 1/32 -- is a mergeable quantile
+sketch: counts by (language, source, metric, bucket) add up, are
+pre-aggregated before the shuffle, and their number per group is bounded by
+the bucket scheme.  Upper fences come from the sketch alone: with ``tail`` the
+metric's upper quantile (METRICS), ``tail + (tail - q50)``.  A group's fence is
+drawn towards its language's, and that towards the whole corpus's, by weights
+docs : PRIOR, so small groups change smoothly.  A document above any fence of
+its group is rejected.
 
 Defined cases: a NULL text has no words; NULL language or source form groups
 of their own; an empty table gives an empty result; repeated rows are judged
@@ -26,10 +27,10 @@ from creditlens.operators.joins import checked_broadcast
 MIN_WORDS = 50            # fixed by the contract
 MAX_REPEAT_PERCENT = 50   # fixed by the contract
 
-# metric -> smallest spread (the q75 - q50 of a group of identical clean documents is 0)
-METRICS = {"m_symbols": 40, "m_bangs": 40, "m_upper": 30, "m_repeats": 60, "m_dup_lines": 90}
-REACH = 5
-MIN_DOCS = 200
+# metric -> percent of its upper quantile: the rest is the share of a group it may suspect at most
+METRICS = {"m_symbols": 80, "m_bangs": 95, "m_upper": 99, "m_repeats": 99, "m_dup_lines": 99}
+PRIOR = 500  # documents' worth of the wider group's fence
+SCALE = 1_000_000
 
 
 def repeated_words(words: str, n: str) -> str:
@@ -74,11 +75,11 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
         "slice(_p, 2, greatest(size(_p) - 1, 0)), (a, b) -> least(3L, b - a)), 0L, (s, x) -> s + x))"))
     words = F.greatest("n_words", F.lit(1))
     return counted.withColumns({
-        "m_symbols": F.expr("1000 * n_symbols div greatest(n_words, 1)"),
-        "m_bangs": F.expr("1000 * _bangs div greatest(n_words, 1)"),
-        "m_upper": F.expr("1000 * _upper div greatest(word_chars, 1)"),
-        "m_repeats": F.expr("1000 * n_repeat_words div greatest(n_words, 1)"),
-        "m_dup_lines": F.expr("1000 * n_dup_lines div greatest(n_lines, 1)"),
+        "m_symbols": F.expr(f"{SCALE}L * greatest(n_symbols - 1, 0) div greatest(n_words, 1)"),
+        "m_bangs": F.expr(f"{SCALE}L * greatest(_bangs - 1, 0) div greatest(n_words, 1)"),
+        "m_upper": F.expr(f"{SCALE}L * _upper div greatest(word_chars, 1)"),
+        "m_repeats": F.expr(f"{SCALE}L * n_repeat_words div greatest(n_words, 1)"),
+        "m_dup_lines": F.expr(f"{SCALE}L * n_dup_lines div greatest(n_lines, 1)"),
         "base_failed": (F.col("n_words") < MIN_WORDS)
         | (F.lit(100) * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * words),
     }).drop("_w", "_l", "_h", "_p", "_bangs", "_upper", "idx_bits", "n_lines")
@@ -107,27 +108,25 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     ranked = merged.withColumns({
         "upto": F.sum("n").over(w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)),
         "total": F.sum("n").over(w)})
-    q = ranked.groupBy(*keys, "metric").agg(
+    percent = F.element_at(F.create_map(*[x for m, p in METRICS.items() for x in (F.lit(m), F.lit(p))]), F.col("metric"))
+    q = ranked.withColumn("percent", percent).groupBy(*keys, "metric").agg(
         F.max("total").alias("docs"),
         F.min(F.expr("IF(2 * upto >= total, value, null)")).alias("q50"),
-        F.min(F.expr("IF(4 * upto >= 3 * total, value, null)")).alias("q75"))
-    floor = F.create_map(*[x for m, f in METRICS.items() for x in (F.lit(m), F.lit(f).cast("long"))])
-    return q.select(*keys, "metric", "docs",
-                    (F.col("q50") + REACH * F.greatest(F.col("q75") - F.col("q50"),
-                                                       F.element_at(floor, F.col("metric")))).alias("fence"))
+        F.min(F.expr("IF(100 * upto >= percent * total, value, null)")).alias("tail"))
+    return q.select(*keys, "metric", "docs", (2 * F.col("tail") - F.col("q50")).alias("fence"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per (lang, source) with a fence column per metric, small groups backed off."""
+    """One row per (lang, source) with a fence column per metric, drawn towards the wider groups' fences."""
     own = fences(sketch, ["lang", "source"])
     lang = fences(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("metric").alias("lm"),
                                            F.col("docs").alias("ldocs"), F.col("fence").alias("lfence"))
     every = fences(sketch, []).select(F.col("metric").alias("am"), F.col("fence").alias("afence"))
+    wider = f"(ldocs * lfence + {PRIOR} * afence) div (ldocs + {PRIOR})"
     chosen = (own.join(lang, own["lang"].eqNullSafe(F.col("l")) & (F.col("metric") == F.col("lm")))
               .join(every, F.col("metric") == F.col("am"))
-              .select("lang", "source", "metric", F.expr(
-                  f"CASE WHEN docs >= {MIN_DOCS} THEN fence WHEN ldocs >= {MIN_DOCS} THEN lfence "
-                  "ELSE afence END").alias("fence")))
+              .select("lang", "source", "metric",
+                      F.expr(f"(docs * fence + {PRIOR} * ({wider})) div (docs + {PRIOR})").alias("fence")))
     return chosen.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("metric") == m, F.col("fence"))).alias(f"f_{m}") for m in METRICS])
 
@@ -193,10 +192,11 @@ rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) A
 cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i+1, i+2]) AS p FROM rep) GROUP BY rid),
 f AS (SELECT m.rid, doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines,
     coalesce(cov.n, 0) AS n_repeat_words,
-    1000 * n_symbols // greatest(n_words, 1) AS m_symbols, 1000 * bangs // greatest(n_words, 1) AS m_bangs,
-    1000 * upper_n // greatest(word_chars, 1) AS m_upper,
-    1000 * coalesce(cov.n, 0) // greatest(n_words, 1) AS m_repeats,
-    1000 * n_dup_lines // greatest(n_lines, 1) AS m_dup_lines,
+    1000000 * greatest(n_symbols - 1, 0) // greatest(n_words, 1) AS m_symbols,
+    1000000 * greatest(bangs - 1, 0) // greatest(n_words, 1) AS m_bangs,
+    1000000 * upper_n // greatest(word_chars, 1) AS m_upper,
+    1000000 * coalesce(cov.n, 0) // greatest(n_words, 1) AS m_repeats,
+    1000000 * n_dup_lines // greatest(n_lines, 1) AS m_dup_lines,
     n_words < 50 OR 100 * coalesce(cov.n, 0) > 50 * n_words AS base_failed
   FROM m LEFT JOIN cov ON m.rid = cov.rid),
 v AS (
@@ -205,19 +205,17 @@ v AS (
       SELECT lang, source, unnest(['m_symbols','m_bangs','m_upper','m_repeats','m_dup_lines']) AS metric,
              unnest([m_symbols, m_bangs, m_upper, m_repeats, m_dup_lines]) AS raw
       FROM f WHERE NOT base_failed))),
-fl(metric, spread) AS (VALUES ('m_symbols', 40), ('m_bangs', 40), ('m_upper', 30), ('m_repeats', 60), ('m_dup_lines', 90)),
-own AS (SELECT lang, source, v.metric, count(*) AS docs, any_value(spread) AS s,
-    quantile_disc(value, 0.5) AS q50, quantile_disc(value, 0.75) AS q75
-  FROM v JOIN fl ON v.metric = fl.metric GROUP BY lang, source, v.metric),
-byl AS (SELECT lang, metric, count(*) AS docs, quantile_disc(value, 0.5) AS q50, quantile_disc(value, 0.75) AS q75
-  FROM v GROUP BY lang, metric),
-alls AS (SELECT metric, quantile_disc(value, 0.5) AS q50, quantile_disc(value, 0.75) AS q75 FROM v GROUP BY metric),
-fence AS (SELECT own.lang, own.source, own.metric,
-    CASE WHEN own.docs >= 200 THEN own.q50 + 5 * greatest(own.q75 - own.q50, s)
-         WHEN byl.docs >= 200 THEN byl.q50 + 5 * greatest(byl.q75 - byl.q50, s)
-         ELSE alls.q50 + 5 * greatest(alls.q75 - alls.q50, s) END AS fence
+tail(metric, percent) AS (VALUES ('m_symbols', 80), ('m_bangs', 95), ('m_upper', 99), ('m_repeats', 99), ('m_dup_lines', 99)),
+own AS (SELECT lang, source, metric, count(*) AS docs, list_sort(list(value)) AS vs FROM v GROUP BY lang, source, metric),
+byl AS (SELECT lang, metric, count(*) AS docs, list_sort(list(value)) AS vs FROM v GROUP BY lang, metric),
+alls AS (SELECT metric, count(*) AS docs, list_sort(list(value)) AS vs FROM v GROUP BY metric),
+fence AS (SELECT own.lang, own.source, own.metric, (own.docs
+    * (2 * own.vs[(percent * own.docs + 99) // 100] - own.vs[(own.docs + 1) // 2]) + 500 * ((byl.docs
+    * (2 * byl.vs[(percent * byl.docs + 99) // 100] - byl.vs[(byl.docs + 1) // 2]) + 500
+    * (2 * alls.vs[(percent * alls.docs + 99) // 100] - alls.vs[(alls.docs + 1) // 2])) // (byl.docs + 500)))
+    // (own.docs + 500) AS fence
   FROM own JOIN byl ON own.lang IS NOT DISTINCT FROM byl.lang AND own.metric = byl.metric
-  JOIN alls ON own.metric = alls.metric),
+  JOIN alls ON own.metric = alls.metric JOIN tail ON own.metric = tail.metric),
 above AS (SELECT DISTINCT f.rid FROM f JOIN fence
   ON f.lang IS NOT DISTINCT FROM fence.lang AND f.source IS NOT DISTINCT FROM fence.source
   AND CASE metric WHEN 'm_symbols' THEN m_symbols WHEN 'm_bangs' THEN m_bangs WHEN 'm_upper' THEN m_upper
