@@ -33,6 +33,11 @@ def client_aggregates(t: Tables) -> list[DataFrame]:
     ]
 
 
+def raw_applications(t: Tables) -> DataFrame:
+    """Application rows joined with the client aggregates, nothing filled: what a saved pipeline scores."""
+    return joins.augment_star(fixtures.application(t), client_aggregates(t))
+
+
 def augment(app: DataFrame, aggregates: list[DataFrame]) -> DataFrame:
     """Star of five left joins, then zero-fill and HAS flags."""
     return impute.zero_fill_flags(joins.augment_star(app, aggregates))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creditlens.operators import lockstep, modeling, sampling
+from creditlens.operators.cleaning import ApplicationCleaningModel
 from creditlens.operators.modeling import ID, LABEL
 from creditlens.operators.smote import smote
 from creditlens.plans import feature_matrix as fm
@@ -270,11 +271,23 @@ def oof_lasso_full(spark: SparkSession, sf: str) -> DataFrame:
     return _CACHE[key]
 
 
+def scoring_pipeline(b: fm.FeatureBuild, model: modeling.FittedModel) -> PipelineModel:
+    """Cleaning, level alignment, design and model in one pipeline over raw augmented rows."""
+    cleaning = ApplicationCleaningModel.of(b.stats, b.building, model.levels, model.modes)
+    return PipelineModel(stages=[cleaning, *model.model.stages])
+
+
+def score_raw(pipeline: PipelineModel, raw: DataFrame, out: str = "p_default") -> DataFrame:
+    """(id, probability) of raw augmented rows by a saved pipeline, in any session."""
+    return modeling.with_probability(pipeline.transform(raw), out).select(ID, out)
+
+
 def save_artifacts(spark: SparkSession, sf: str, root: str, ff: FinalFit) -> dict[str, str]:
     """Every artefact the reference keeps, under one root.
 
-    The fitted pipeline uses Spark ML persistence; every table is Parquet
-    keyed by id (no positional vectors).
+    The fitted model and the whole scoring pipeline (with the fitted
+    cleaning) use Spark ML persistence; every table is Parquet keyed by id (no
+    positional vectors).
     """
     train = feature_build(spark, sf).train
     lasso = oof_lasso_full(spark, sf).select(ID, LABEL, "fold", "p_default")
@@ -292,6 +305,8 @@ def save_artifacts(spark: SparkSession, sf: str, root: str, ff: FinalFit) -> dic
     }
     paths = {"model": f"{root}/model"}
     modeling.save(ff.model, paths["model"])
+    paths["pipeline"] = f"{root}/pipeline"
+    scoring_pipeline(feature_build(spark, sf), ff.model).write().overwrite().save(paths["pipeline"])
     for name, df in tables.items():
         paths[name] = f"{root}/{name}"
         df.write.mode("overwrite").parquet(paths[name])
