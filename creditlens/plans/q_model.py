@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from creditlens.operators import evaluate, fairness, modeling, sampling
+from creditlens.operators import evaluate, fairness, glm, lockstep, modeling, sampling
 from creditlens.operators.fairness import adverse_action_map
 from creditlens.operators.modeling import ID, LABEL
 from creditlens.operators.smote import smote
@@ -76,6 +76,17 @@ def q_fit_logistic(spark, sf):
     return modeling.fit(train, modeling.logistic(), num, cat).coefficients(spark)
 
 
+@query("glm_coefficients")
+def q_glm_coefficients(spark, sf):
+    """M3: unpenalised logistic regression as glm reports it: aliased columns NULL, standard errors, z values."""
+    train, num, cat = _folds(spark, sf)
+    from pyspark.ml import Pipeline
+    design = Pipeline(stages=modeling.design_pipeline(num, cat)).fit(train)
+    names = modeling.FittedModel(design, num, cat, {}, {}).attribute_names()
+    blocks = lockstep.pack(design.transform(train).withColumn("tag", F.lit(0)), LABEL, "tag")
+    return glm.coefficient_table(spark, glm.fit_glm(blocks, names))
+
+
 @query("fit_lasso_cv")
 def q_fit_lasso_cv(spark, sf):
     """M4: L1 logistic regression, penalty chosen by inner 10-fold CV on log-loss."""
