@@ -26,6 +26,7 @@ are one vector (each row is returned).
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -51,10 +52,35 @@ def key_bits(n: int) -> int:
     return max(4, math.ceil(math.log2(max(n, 1) / BUCKET)) if n > BUCKET else 4)
 
 
+def missed(k: int, tables: int, threshold: float = THRESHOLD) -> float:
+    """Chance that a pair exactly at the threshold shares no table.
+
+    Tables draw their bits from the same BITS, so a pair with many differing
+    bits misses many of them together: the mean over the number of differing
+    bits, not a power of the mean.
+    """
+    p = math.acos(threshold) / math.pi
+    total = 0.0
+    for h in range(BITS + 1):
+        weight = math.exp(math.lgamma(BITS + 1) - math.lgamma(h + 1) - math.lgamma(BITS - h + 1)
+                          + h * math.log(p) + (BITS - h) * math.log1p(-p))
+        agree = 0.0 if BITS - h < k else math.exp(
+            math.lgamma(BITS - h + 1) - math.lgamma(BITS - h - k + 1)
+            - math.lgamma(BITS + 1) + math.lgamma(BITS - k + 1))
+        total += weight * (0.0 if agree >= 1.0 else math.exp(tables * math.log1p(-agree)))
+    return total
+
+
+@functools.lru_cache(maxsize=None)
 def table_count(k: int, threshold: float = THRESHOLD, miss: float = MISS) -> int:
-    """Tables that bring the miss rate at the threshold down to ``miss``."""
-    agree = (1 - math.acos(threshold) / math.pi) ** k
-    return math.ceil(math.log(miss) / math.log1p(-agree))
+    """Least number of tables that brings ``missed`` down to ``miss``."""
+    low, high = 0, 1
+    while missed(k, high, threshold) > miss:
+        low, high = high, 2 * high
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if missed(k, mid, threshold) > miss else (low, mid)
+    return high
 
 
 def rotations(dim: int) -> np.ndarray:
