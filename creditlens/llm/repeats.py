@@ -20,8 +20,9 @@ over the texts, each a Spark job over whole documents:
 3. **Cutting.**  Marked runs meet their texts again.
 
 An anchor that occurs more than ``HOT`` times is dealt by whole windows
-instead (one key per window and its bytes), so a line common to a third of
-the documents does not meet in one task.
+instead (one key per window and its bytes).  A task sends a window once, the
+earliest; later ones are covered at once, so of a line common to a third of
+the documents a key gets one row per task.
 
 Defined cases: NULL and empty texts have no bytes; texts under ``LENGTH``
 bytes lose nothing; an id names one text (rows repeating it are the same
@@ -180,10 +181,22 @@ def cuttings(docs: DataFrame, found: DataFrame) -> DataFrame:
                     if not hot:
                         rows.append((h, key, start, offset, piece))
                         continue
+                    # a window seen before in this task is covered at once: a window's key gets a row per task
+                    ready = None
                     for i in range(more + 1):
                         w = piece[i:i + LENGTH]
-                        wh = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True)
-                        rows.append((wh, key, start + i, 0, w))
+                        window = hashlib.blake2b(w, digest_size=16, person=b"window").digest()
+                        if first.setdefault(window, (key, start + i)) < (key, start + i):
+                            if ready is not None and start + i <= ready[3]:
+                                ready = (h, key, ready[2], start + i + LENGTH, None)
+                                continue
+                            if ready is not None:
+                                rows.append(ready)
+                            ready = (h, key, start + i, start + i + LENGTH, None)
+                            continue
+                        rows.append((int.from_bytes(window[:8], "little", signed=True), key, start + i, 0, w))
+                    if ready is not None:
+                        rows.append(ready)
                 if len(rows) >= 20_000:
                     yield pd.DataFrame(rows, columns=["key", "id", "start", "offset", "bytes"])
                     rows = []
@@ -376,10 +389,16 @@ def union_ranges(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.nd
     return start[first], stop[np.append(first[1:] - 1, len(stop) - 1)]
 
 
+def once(named: DataFrame) -> DataFrame:
+    """(id, text) without rows that repeat both; only rows of repeated ids are shuffled."""
+    again = table(named.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id"), "rep-ids")
+    return thinned(named, again, "left_anti").unionByName(thinned(named, again).dropDuplicates(["id", "text"]))
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, kept bytes as binary, n_bytes, n_removed, spans array<struct<start,stop>>) of every row."""
     every = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    named = every.filter("id is not null and octet_length(text) >= %d" % LENGTH)
+    named = once(every.filter("id is not null and octet_length(text) >= %d" % LENGTH))
     found = table(repeated(anchor_rows(named)), "rep-anchors")
     ranges = table(marked_runs(cuttings(named, found)), "rep-ranges")
 

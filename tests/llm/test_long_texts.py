@@ -42,3 +42,38 @@ def test_repeated_jwt_prefix_is_linear():
     text = "eyJ" * 50 + " " + token + " eyJeyJ.eyJ " + token
     spans = [(s, e) for s, e, k in secret_scan.scan(text, auto) if k == "jwt"]
     assert spans == [(151, 151 + len(token)), (len(text) - len(token), len(text))]
+
+
+def test_hot_windows_meet_once_per_task(spark, monkeypatch):
+    """A passage common to all documents after different openings: a key holds at most one row of a task."""
+    from pyspark.sql import functions as F
+
+    from creditlens.llm import repeats
+
+    monkeypatch.setattr(repeats, "HOT", 50)
+    r = random.Random(8)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, "".join(r.choice("xyz") for _ in range(140)) + passage + "".join(r.choice("uvw") for _ in range(40)))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    cut = repeats.cuttings(df, repeats.table(repeats.repeated(repeats.anchor_rows(df)), "hot-test"))
+    cut = cut.withColumn("task", F.spark_partition_id()).cache()
+    sent = cut.filter("bytes is not null")
+    assert sent.groupBy("key", "bytes", "offset", "task").count().agg(F.max("count")).first()[0] == 1
+    # 600 documents share the windows, but no key gathers a row of each
+    assert sent.groupBy("key").count().agg(F.max("count")).first()[0] <= 50
+    out = repeats.remove_repeats(df.withColumnRenamed("id", "doc_id")).collect()
+    # letters beside the passage may repeat with it
+    assert all(300 <= x.n_removed <= 330 for x in out if x.doc_id) and [x.n_removed for x in out if x.doc_id == 0] == [0]
+
+
+def test_many_equal_rows_of_one_id(spark):
+    from creditlens.llm import repeats
+
+    r = random.Random(9)
+    text = "".join(r.choice("abcdefgh ") for _ in range(3_000))
+    start = time.time()
+    df = spark.createDataFrame([(7, text)] * 10_000 + [(8, text), (9, None)], "doc_id long, text string").repartition(8)
+    got = [(x.doc_id, x.n_removed) for x in repeats.remove_repeats(df).collect()]
+    assert sorted(got) == [(7, 0)] * 10_000 + [(8, 3_000), (9, 0)]
+    assert time.time() - start < 60
