@@ -21,9 +21,10 @@ from creditlens.plans import feature_matrix as fm
 from creditlens.plans import training
 from creditlens.plans.oracle_sql import APP_DOUBLES, rounded, with_fixtures
 from creditlens.plans.q_features import _feature_matrix_sql
+from creditlens.plans.q_profile import _NON_ID
 from creditlens.plans.registry import query
 from creditlens.session import checkpoint_dir
-from creditlens.sources import fixtures, read_csv_na, write_csv_na
+from creditlens.sources import fixtures, guess, read_csv_na, write_csv_na
 from creditlens.sources.tables import Tables
 
 
@@ -45,6 +46,17 @@ def q_scan_csv_na(spark, sf):
     return read_csv_na(spark, path, app.schema)
 
 
+@query("csv_types", with_fixtures(["app"], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CASE WHEN count({c}) = 0 THEN 'void' WHEN typeof(any_value({c})) = 'VARCHAR' "
+    f"THEN 'string' WHEN typeof(any_value({c})) = 'DOUBLE' THEN 'double' ELSE 'bigint' END AS type, "
+    f"count({c}) AS n_values, count(*) - count({c}) AS n_missing FROM app" for c in ["SK_ID_CURR", "TARGET", *_NON_ID])))
+def q_csv_types(spark, sf):
+    """The narrowest type of every column of a CSV without a schema, from all its rows in one pass."""
+    path = _scratch(spark, "application-csv")
+    write_csv_na(fixtures.application(Tables(spark, sf)), path)
+    return guess.guess_types(guess.read_text(spark, path))
+
+
 @query("sink_roundtrip", _feature_matrix_sql("train"))
 def q_sink_roundtrip(spark, sf):
     """S3: the training feature matrix written as CSV (NA for NULL) and read back."""

@@ -163,20 +163,17 @@ def plain_fold_designs(df: DataFrame, numeric, categorical, k: int, seed: int) -
 def resample(arms: dict[str, list], points: list[tuple[float, float]]) -> dict:
     """{arm: (folds, points, 3) array of ROC, Sens and Spec} of every grid point on every fold.
 
-    All fits of all folds and arms move in lockstep; each fold's scores are
-    merged histograms.  Tags are even for training and odd for evaluation rows.
+    Folds have their own design columns (levels), so each is packed by itself:
+    training rows with tag 0, evaluation rows with tag 1.  A fold's fits move
+    in lockstep, folds run side by side, and scores are merged histograms.
     """
     keys = [(arm, f) for arm, designs in arms.items() for f in range(len(designs))]
-    fits = {}
-    # folds have their own design columns (levels), so every fold is packed by itself
-    for arm, f in keys:
-        x_tr, x_te = arms[arm][f]
-        both = x_tr.select("features", LABEL, F.lit(0).alias("tag")) \
-            .unionByName(x_te.select("features", LABEL, F.lit(1).alias("tag")))
-        fits[arm, f] = both
 
     def one(key):
-        fit = lockstep.Lockstep(lockstep.pack(fits[key], LABEL, "tag"), [lockstep.Group({0}, {1}, list(points))])
+        x_tr, x_te = arms[key[0]][key[1]]
+        both = x_tr.select("features", LABEL, F.lit(0).alias("tag")) \
+            .unionByName(x_te.select("features", LABEL, F.lit(1).alias("tag")))
+        fit = lockstep.Lockstep(lockstep.pack(both, LABEL, "tag"), [lockstep.Group({0}, {1}, list(points))])
         fit.fit()
         return np.stack(lockstep.resampled(fit.score_histograms()[0]), axis=1)
 
