@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from creditlens.operators import modeling
 from creditlens.operators.smote import _nearest, _neighbours, copies_per_vector, smote
 
 
@@ -71,3 +72,37 @@ def test_single_minority_row_raises(spark):
     df = spark.createDataFrame([(1, 1, Vectors.dense([0.0])), (2, 0, Vectors.dense([1.0]))], ["id", "y", "f"])
     with pytest.raises(ValueError):
         smote(df, "id", "f", "y")
+
+
+def test_vectors_meet_without_a_shuffle_per_pair(spark):
+    """Vectors that no bound separates are not copied to every block: stored chunks meet in a Cartesian product."""
+    x = np.random.default_rng(4).normal(size=(900, 20))
+    uniq = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "_rep long, _dup long, _key array<double>")
+    near = _nearest(uniq, 5, 60, 16)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    best = {}
+    for r in sorted(near.collect(), key=lambda r: (r["_nrep"], r["_d"], r["_b"])):
+        best.setdefault(r["_nrep"], []).append(r["_b"])
+    assert {i: set(b[:5]) for i, b in best.items()} == _exact(x, 5)
+
+
+def test_design_rows_run_their_input_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            runs.add(len(b))
+            yield b
+
+    df = spark.range(100).selectExpr("id as SK_ID_CURR", "cast(id % 2 as int) as TARGET") \
+        .mapInPandas(counted, "SK_ID_CURR long, TARGET int")
+    assert modeling.design_rows(df, ("SK_ID_CURR", "TARGET")).count() == 100
+    assert runs.value == 100
+
+
+def test_small_frames_keep_as_many_partitions_as_slots(spark):
+    df = spark.range(0, 40_000, 1, 16)
+    slots = spark.sparkContext.defaultParallelism
+    assert modeling.right_size(df).rdd.getNumPartitions() == min(slots, 8)
+    assert modeling.right_size(spark.range(0, 900, 1, 16)).rdd.getNumPartitions() == 1
