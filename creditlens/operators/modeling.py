@@ -97,18 +97,18 @@ ROWS_PER_PARTITION = 100_000
 FEWEST_ROWS = 5_000  # rows that are worth a task of their own
 
 
-def right_size(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Coalesce a small training frame: as many partitions as the session has task slots, of ``FEWEST_ROWS`` to
-    ~``ROWS_PER_PARTITION`` rows.
+def right_size(df: DataFrame, rows: int | None = None, spread: bool = False) -> DataFrame:
+    """Coalesce a small training frame to ~``ROWS_PER_PARTITION`` rows per partition.
 
     Iterative optimisers run one ``treeAggregate`` job per loss evaluation;
     on a small frame spread over many partitions that is mostly task and
     shuffle overhead.  Large frames keep their partitioning (coalesce never
-    increases or reshuffles).
+    increases or reshuffles).  ``spread`` keeps a partition per task slot (of
+    ``FEWEST_ROWS`` at least): a forest's passes are few and long.
     """
     n = df.count() if rows is None else rows
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    want = max(1, -(-n // ROWS_PER_PARTITION), min(slots, n // FEWEST_ROWS))
+    slots = min(df.sparkSession.sparkContext.defaultParallelism, n // FEWEST_ROWS) if spread else 1
+    want = max(1, -(-n // ROWS_PER_PARTITION), slots)
     return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
 
 
@@ -119,9 +119,10 @@ def logistic(reg: float = 0.0, alpha: float = 0.0, max_iter: int = 100) -> Logis
 
 def forest(num_trees: int = 200, seed: int = 42, max_depth: int = 12) -> RandomForestClassifier:
     """M5.  The reference grows trees without a depth limit; Spark ML needs one (30 at most) and keeps a
-    node table that doubles per level, so ``max_depth`` is a parameter: 12 levels hold 4,096 leaves."""
+    node table that doubles per level, so ``max_depth`` is a parameter: 12 levels hold 4,096 leaves.  512 MB of
+    node statistics per task take half as many passes over the rows as Spark's default."""
     return RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=num_trees, seed=seed,
-                                  maxDepth=max_depth)
+                                  maxDepth=max_depth, maxMemoryInMB=512)
 
 
 def with_probability(pred: DataFrame, out: str = "p_default") -> DataFrame:
@@ -186,15 +187,14 @@ class FittedModel:
 
 def fit(df: DataFrame, estimator, numeric: Sequence[str], categorical: Sequence[str],
         full_first: bool = False) -> FittedModel:
-    df = right_size(df)
     levels, modes = training_levels(df, categorical)
     design = Pipeline(stages=design_pipeline(numeric, categorical, full_first)).fit(df)
-    x = design_rows(design.transform(df))
+    x = design_rows(design.transform(df), spread=isinstance(estimator, RandomForestClassifier))
     model = PipelineModel(stages=design.stages + [estimator.fit(x)])
     return FittedModel(model, list(numeric), list(categorical), levels, modes)
 
 
-def design_rows(x: DataFrame, cols: Sequence[str] = ("features", LABEL)) -> DataFrame:
+def design_rows(x: DataFrame, cols: Sequence[str] = ("features", LABEL), spread: bool = False) -> DataFrame:
     """Materialise design rows before an iterative fit.
 
     An optimiser runs one job per loss evaluation and every task carries
@@ -205,7 +205,7 @@ def design_rows(x: DataFrame, cols: Sequence[str] = ("features", LABEL)) -> Data
     partitions.
     """
     checkpoint_dir(x.sparkSession)  # the session's shared folder (a scratch one only when unset)
-    return right_size(x.select(*cols).checkpoint())
+    return right_size(x.select(*cols).checkpoint(), spread=spread)
 
 
 def cv_lasso(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], n_lambda: int = 100,
@@ -217,7 +217,6 @@ def cv_lasso(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     ties).  All folds' paths and the whole rows' path move in lockstep
     (``lockstep``); the chosen penalty's model is a Spark ML fit.
     """
-    df = right_size(df)
     levels, modes = training_levels(df, categorical)
     design_model = Pipeline(stages=design_pipeline(numeric, categorical, full_first)).fit(df)
     x = design_rows(design_model.transform(df), (ID, "features", LABEL))

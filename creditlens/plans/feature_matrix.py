@@ -11,6 +11,7 @@ training rows; the transform is projections only.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,7 +74,9 @@ def build(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Featur
     history aggregations run once even when both matrices are needed.  A
     query for one side only gets the split filter pushed into the
     application scan by Catalyst.  ``materialize=True`` checkpoints the
-    combined frame (shared folder) for repeated use.
+    client aggregates and then the combined frame (shared folder) for repeated
+    use: no task holds the hash tables and sorts of more than one aggregate,
+    nor those beside the joins'.
     """
     t = Tables(spark, sf_dir)
     train_app = fixtures.application_train(t)
@@ -81,10 +84,14 @@ def build(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Featur
     # change the row count, so fitting on the raw training rows is the same.
     stats = impute.fit_train_stats(train_app)
     bvars = building_vars_schema_only(train_app)
-    everyone = recode.recode_levels(impute.clean_application(
-        augment(fixtures.application(t), client_aggregates(t)), stats, bvars))
+    aggregates = client_aggregates(t)
     if materialize:
         checkpoint_dir(spark)  # the session's shared folder (a scratch one only when unset)
+        with ThreadPoolExecutor(max_workers=len(aggregates)) as ex:
+            aggregates = list(ex.map(lambda a: a.checkpoint(), aggregates))
+    everyone = recode.recode_levels(impute.clean_application(
+        augment(fixtures.application(t), aggregates), stats, bvars))
+    if materialize:
         everyone = everyone.checkpoint()
     train = everyone.where(~fixtures.is_test())
     test = everyone.where(fixtures.is_test()).drop("TARGET")

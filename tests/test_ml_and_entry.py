@@ -153,3 +153,27 @@ def test_reports_on_validation_scores(spark):
         mine = [x for x in rows if x[r.group] == r.level]
         assert r.n == len(mine)
         assert abs(r.Approval_Rate - 100 * sum(x.p_default < 0.65 for x in mine) / r.n) < 1e-6
+
+
+def test_client_aggregates_are_stored_one_by_one(spark, monkeypatch):
+    """No task of the materialised build holds more than one aggregate's tables; the frame is the same."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from creditlens.plans import feature_matrix
+
+    stored = []
+    kept = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a: stored.append(self.columns) or kept(self, *a))
+    sf = "/root/testdata/sf0.001"
+    built = feature_matrix.build(spark, sf, materialize=True)
+    assert len(stored) == 6
+    monkeypatch.undo()
+    plain = feature_matrix.build(spark, sf)
+    assert built.train.exceptAll(plain.train).count() == 0 == plain.train.exceptAll(built.train).count()
+
+
+def test_a_forest_takes_few_passes():
+    from creditlens.operators import modeling
+
+    f = modeling.forest()
+    assert (f.getMaxMemoryInMB(), f.getNumTrees(), f.getMaxDepth()) == (512, 200, 12)

@@ -101,8 +101,8 @@ def test_design_rows_run_their_input_once(spark):
     assert runs.value == 100
 
 
-def test_small_frames_keep_as_many_partitions_as_slots(spark):
+def test_a_forests_rows_keep_as_many_partitions_as_slots(spark):
     df = spark.range(0, 40_000, 1, 16)
     slots = spark.sparkContext.defaultParallelism
-    assert modeling.right_size(df).rdd.getNumPartitions() == min(slots, 8)
-    assert modeling.right_size(spark.range(0, 900, 1, 16)).rdd.getNumPartitions() == 1
+    assert modeling.right_size(df, spread=True).rdd.getNumPartitions() == min(slots, 8)
+    assert modeling.right_size(spark.range(0, 900, 1, 16), spread=True).rdd.getNumPartitions() == 1
