@@ -196,3 +196,16 @@ def test_lasso_path_comes_from_the_data(spark):
     hi = np.max(np.abs(z.T @ (y - y.mean()))) / len(y)
     assert min(abs(m.model.stages[-1].getRegParam() / r - 1) for r in modeling.lambda_grid(8, hi, 1e-4)) < 1e-9
     assert m.nonzero() > 0
+
+
+def test_curvature_is_a_product_of_one_array_with_itself():
+    """Half the products: exactly symmetric, and right."""
+    rng = np.random.default_rng(6)
+    x, y = rng.normal(size=(500, 30)), (rng.random(500) < 0.3).astype(float)
+    g = lockstep.Group({0}, set(), [(0.1, 1.0)], x.mean(axis=0), x.std(axis=0, ddof=1), 500, y.sum())
+    state = lockstep.State(np.arange(1), rng.normal(size=(31, 1)), rng.normal(size=(31, 1)), np.full(1, np.inf))
+    (_, (_, _, curve)), = lockstep._curved(0, x, y, [(0, g, state, np.array([0]))])
+    z = np.column_stack([(x - g.mean) / g.scale, np.ones(500)])
+    p = 1 / (1 + np.exp(-(z @ state.there[:, 0])))
+    assert np.allclose(curve[0], (z * (p * (1 - p))[:, None]).T @ z)
+    assert np.array_equal(curve[0], curve[0].T)
