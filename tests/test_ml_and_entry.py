@@ -176,4 +176,4 @@ def test_a_forest_takes_few_passes():
     from creditlens.operators import modeling
 
     f = modeling.forest()
-    assert (f.getMaxMemoryInMB(), f.getNumTrees(), f.getMaxDepth()) == (512, 200, 12)
+    assert (f.getMaxMemoryInMB(), f.getNumTrees(), f.getMaxDepth()) == (512, 200, 12) and f.getCacheNodeIds()
