@@ -1,12 +1,14 @@
-"""The steps of the final fit: stored folds, steps side by side."""
+"""The steps of the final fit: stored folds, steps side by side, raw rows from the stored aggregates."""
 
 import threading
 
 import pytest
 
 from conftest import SF001
-from creditlens.operators import modeling
+from creditlens.operators import history, modeling
+from creditlens.plans import feature_matrix as fm
 from creditlens.plans import training
+from creditlens.sources.tables import Tables
 
 
 def test_folds_have_as_many_partitions_as_their_size_calls_for(spark, monkeypatch):
@@ -43,3 +45,20 @@ def test_rows_of_the_final_fit_do_not_wait_for_tuning(spark, monkeypatch):
     assert ff.cv_auc == pytest.approx(training.cv_auc(train, *modeling.feature_columns(train), 0.01, 1.0, 5, 7, True))
     part = {r.split: r["count"] for r in ff.split.groupBy("split").count().collect()}
     assert part["validation"] == ff.validation.count() and sum(part.values()) == train.count()
+
+
+def test_raw_rows_come_from_the_stored_aggregates(spark, monkeypatch):
+    """Scoring raw rows does not aggregate the histories again; the rows are the same."""
+    import __spark_entry__ as entry
+
+    training.final_fit(spark, SF001)
+    again, real = [], history.pos_client
+    monkeypatch.setattr(history, "pos_client", lambda *a: again.append(1) or real(*a))
+    scored = entry.queries()["score_raw"](spark, SF001)
+    assert not again
+    monkeypatch.undo()
+    b = training.feature_build(spark, SF001)
+    raw = fm.raw_applications(Tables(spark, SF001))
+    assert b.raw.columns == raw.columns
+    assert sorted(map(repr, b.raw.collect())) == sorted(map(repr, raw.collect()))
+    assert scored.count() == b.test.count()
