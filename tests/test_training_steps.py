@@ -2,10 +2,11 @@
 
 import threading
 
+import numpy as np
 import pytest
 
 from conftest import SF001
-from creditlens.operators import history, modeling
+from creditlens.operators import history, lockstep, modeling
 from creditlens.plans import feature_matrix as fm
 from creditlens.plans import training
 from creditlens.sources.tables import Tables
@@ -62,3 +63,12 @@ def test_raw_rows_come_from_the_stored_aggregates(spark, monkeypatch):
     assert b.raw.columns == raw.columns
     assert sorted(map(repr, b.raw.collect())) == sorted(map(repr, raw.collect()))
     assert scored.count() == b.test.count()
+
+
+def test_loss_and_probability_from_one_exponential():
+    eta = np.array([-800.0, -40.0, -1e-9, 0.0, 3.0, 40.0, 800.0])
+    with np.errstate(all="raise", under="ignore"):
+        loss, p = lockstep._logistic(eta)
+    assert np.allclose(loss, np.logaddexp(0.0, eta), rtol=1e-15)
+    assert np.allclose(p[1:-1], 1 / (1 + np.exp(-eta[1:-1])), rtol=1e-14)
+    assert p[0] == 0.0 and p[-1] == 1.0
