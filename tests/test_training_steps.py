@@ -3,6 +3,7 @@
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from creditlens.operators import history, modeling
@@ -62,3 +63,40 @@ def test_raw_rows_come_from_the_stored_aggregates(spark, monkeypatch):
     assert b.raw.columns == raw.columns
     assert sorted(map(repr, b.raw.collect())) == sorted(map(repr, raw.collect()))
     assert scored.count() == b.test.count()
+
+
+def test_forests_follow_one_another_and_scores_hold_no_model(spark, monkeypatch):
+    """A forest fills memory alone; stored scores do not keep it in the driver."""
+    rows = [(i, int(i % 4 == 0), float(i * 7 % 17), "ab"[i % 2]) for i in range(300)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, x double, g string")
+    forest, fit, running, most = modeling.forest, modeling.fit, [], []
+    monkeypatch.setattr(modeling, "forest", lambda n, seed: forest(4, seed, 3))
+
+    def watched(*a):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return fit(*a)
+        finally:
+            running.pop()
+
+    monkeypatch.setattr(modeling, "fit", watched)
+    scores, n_pred = training.oof_predictions(df, ["x"], ["g"], ("Random Forest",))
+    assert max(most) == 1 and n_pred == {"Random Forest": 2}
+    assert sorted(r.SK_ID_CURR for r in scores.collect()) == list(range(300))
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and "UDF" not in plan
+
+
+def test_votes_of_parts_of_a_forest_are_the_forests(spark, monkeypatch):
+    """Rows that come twice and rows with levels unseen in training included."""
+    rows = [(i, int(i % 4 == 0), float(i * 7 % 17), "ab"[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, x double, g string")
+    m = modeling.fit(df, modeling.forest(7, 1, 4), ["x"], ["g"])
+    monkeypatch.setattr(modeling, "TREES_SENT", 3)
+    odd = df.unionByName(df.where("SK_ID_CURR < 20")).unionByName(df.limit(5).withColumn("g", F.lit("new")))
+    got = modeling.forest_scores(m, odd, ("SK_ID_CURR", "TARGET")).collect()
+    want = m.score(odd).select("SK_ID_CURR", "TARGET", "p_default").collect()
+    assert len(got) == 225 and len(set(r.p_default for r in got)) > 3
+    for a, b in zip(sorted(got), sorted(want)):
+        assert a[:2] == b[:2] and a.p_default == pytest.approx(b.p_default, abs=1e-12)
