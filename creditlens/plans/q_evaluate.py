@@ -56,7 +56,7 @@ def q_stratified_split(spark, sf):
 @query("sample_n", with_fixtures(["train"],
     f"SELECT SK_ID_CURR, TARGET FROM train ORDER BY {U}, SK_ID_CURR LIMIT 60"))
 def q_sample_n(spark, sf):
-    """Seeded sample of 60 rows (the tuning subset takes 5,000 the same way)."""
+    """Seeded sample of 60 rows."""
     return sampling.sample_n(_train(spark, sf), "SK_ID_CURR", 60, 42).select("SK_ID_CURR", "TARGET")
 
 

@@ -145,8 +145,8 @@ def q_feature_set_comparison(spark, sf):
 
 @query("tune_grid")
 def q_tune_grid(spark, sf):
-    """ROC, Sens and Spec (mean, SD over folds) of a 20 x 20 grid with penalties from the data, on a
-    5,000-row sample, with and without SMOTE."""
+    """ROC, Sens and Spec (mean, SD over folds) of a 20 x 20 grid with penalties from the data, on all
+    training rows, with and without SMOTE."""
     return training.tuned_grid(spark, sf)
 
 

@@ -1,6 +1,7 @@
 """The steps of the final fit: stored folds, steps side by side, raw rows from the stored aggregates."""
 
 import threading
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +101,14 @@ def test_votes_of_parts_of_a_forest_are_the_forests(spark, monkeypatch):
     assert len(got) == 225 and len(set(r.p_default for r in got)) > 3
     for a, b in zip(sorted(got), sorted(want)):
         assert a[:2] == b[:2] and a.p_default == pytest.approx(b.p_default, abs=1e-12)
+
+
+def test_tuning_reads_every_training_row(spark, monkeypatch):
+    """Not a sample of 5,000."""
+    rows = [(i, int(i % 9 == 0), float(i * 7 % 17)) for i in range(6_000)]
+    train = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int, x double")
+    seen = []
+    monkeypatch.setattr(training, "feature_build", lambda spark, sf: SimpleNamespace(train=train))
+    monkeypatch.setattr(training, "tune_grid", lambda spark, df, *a: seen.append(df.count()) or df)
+    training.tuned_grid(spark, "/nowhere/6000-rows")
+    assert seen == [6_000]
