@@ -6,7 +6,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from creditlens.operators import modeling
-from creditlens.operators.smote import _nearest, _neighbours, copies_per_vector, smote
+from creditlens.operators.smote import _Asking, _nearest, _neighbours, copies_per_vector, smote
 
 
 def _exact(x, k):
@@ -106,3 +106,27 @@ def test_a_forests_rows_keep_as_many_partitions_as_slots(spark):
     slots = spark.sparkContext.defaultParallelism
     assert modeling.right_size(df, spread=True).rdd.getNumPartitions() == min(slots, 8)
     assert modeling.right_size(spark.range(0, 900, 1, 16), spread=True).rdd.getNumPartitions() == 1
+
+
+@pytest.mark.parametrize("kind, kinds", [("spread", {np.float32}), ("clusters", {np.float32, np.float64}),
+                                         ("huge", {np.float64})])
+def test_products_of_single_precision_lose_no_neighbour(monkeypatch, kind, kinds):
+    """Also where single precision cannot tell vectors apart, or cannot hold their squares."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(240, 12))
+    if kind == "clusters":
+        x = np.repeat(rng.normal(size=(4, 12)) * 1e4, 60, axis=0) + x * 1e-3
+    elif kind == "huge":
+        x *= 1e16
+    seen, opened = [], _Asking._open
+    monkeypatch.setattr(_Asking, "_open", lambda self, *a: seen.append(a[-1]) or opened(self, *a))
+    ids = rng.permutation(240)
+    asking = _Asking(0, 5, ids[:80], x[:80])
+    for lo in range(0, 240, 60):
+        asking.meet(ids[lo:lo + 60], np.ones(60, np.int64), x[lo:lo + 60])
+    assert set(seen) == kinds
+    got = asking.nearest().groupby("_nrep")["_b"].apply(list).to_dict()
+    for i in range(80):
+        far = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        far[i] = np.inf
+        assert got[ids[i]] == ids[np.lexsort((ids, far))[:5]].tolist()
